@@ -258,7 +258,7 @@ define("dim_date", """
 def _fact_sql(customers: str, upper: str = "<", kind: str = "join") -> str:
     return f"""
         select row_number() over (order by transaction_date_key, transaction_id, product_key, quantity, unit_price,
-                                  line_total, discount_amount) as transaction_key, *
+                                  line_total, discount_amount, customer_key) as transaction_key, *
         from (select c.customer_key, p.product_key,
                      cast(strftime(t.transaction_date, '%Y%m%d') as int) as transaction_date_key,
                      t.transaction_id, t.order_number, i.quantity, i.unit_price, i.line_total, i.discount_amount,

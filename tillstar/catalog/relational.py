@@ -304,11 +304,15 @@ def _(c: Context) -> DataFrame:
     )
 
 
-@query("A02_approximate_distinct")
+@query("A02_approximate_distinct", """
+    select payment_method, true as within_tenth from fact_transactions group by payment_method""")
 def _(c: Context) -> DataFrame:
-    return c["fact_transactions"].groupBy("payment_method").agg(
-        F.approx_count_distinct("transaction_id", 0.02).alias("transactions")
+    counted = c["fact_transactions"].groupBy("payment_method").agg(
+        F.approx_count_distinct("transaction_id", 0.02).alias("sketch"),
+        F.count_distinct("transaction_id").alias("exact"),
     )
+    close = F.abs(F.col("sketch") - F.col("exact")) <= 0.1 * F.col("exact")
+    return counted.select("payment_method", close.alias("within_tenth"))
 
 
 @query("A03_conditional_aggregates", f"""
@@ -468,13 +472,13 @@ def _(c: Context) -> DataFrame:
 
 
 @query("G01_common_table", f"""
-    select a.transaction_month, a.revenue, {sql_ratio('a.revenue', '(select avg(b.revenue) from m b)')} > 1 as above_average
-    from (select transaction_date_key // 100 as transaction_month, {sql_money('sum(net_amount)')} as revenue
-          from fact_transactions group by 1) a,
-         (select 1) one""".replace("(select avg(b.revenue) from m b)", f"""(select cast(sum(net_amount) as double)
-              / count(distinct transaction_date_key // 100) from fact_transactions)"""))
+    select transaction_date_key // 100 as transaction_month, {sql_money('sum(net_amount)')} as revenue,
+           cast(sum(net_amount) as double) > (select cast(sum(net_amount) as double) / count(distinct transaction_date_key // 100)
+                                              from fact_transactions) as above_average
+    from fact_transactions group by 1""")
 def _(c: Context) -> DataFrame:
-    monthly = c["fact_transactions"].groupBy("transaction_month").agg(decimal_sum("net_amount").alias("revenue"))
+    month = F.floor(F.col("transaction_date_key") / 100).cast("int").alias("transaction_month")
+    monthly = c["fact_transactions"].groupBy(month).agg(decimal_sum("net_amount").alias("revenue"))
     average = monthly.agg(mean("revenue")).scalar()
     return monthly.withColumn("above_average", ratio("revenue", average) > 1)
 

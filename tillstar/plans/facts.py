@@ -14,7 +14,9 @@ from tillstar.operators.keys import with_keys, with_scan_position
 from tillstar.operators.lookup import lookup, lookup_scd2
 from tillstar.operators.rows import dedupe_staged, not_yet_in
 
-MONTH = "transaction_month"
+# Storage partition of the fact. Files are sorted by date within it, so file statistics skip
+# within a year and the number of folders stays small.
+YEAR = "transaction_year"
 
 
 def _present(df: DataFrame, *columns: str) -> DataFrame:
@@ -78,17 +80,17 @@ def transaction_lines(
 # Key order of fact rows; what is left equal after these columns are exact copies.
 _LINE_ORDER = (
     "transaction_date_key", "transaction_id", "product_key", "quantity", "unit_price", "line_total",
-    "discount_amount",
+    "discount_amount", "customer_key",
 )
 
 
 def key_transactions(lines: DataFrame, start: Column | int = 1) -> DataFrame:
-    """Number fact rows by date and transaction and add the storage month."""
+    """Number fact rows by date and transaction and add the storage year."""
     tie = [c for c in lines.columns if c == "_scan_position"]
     keep = [*schemas.WAREHOUSE["fact_transactions"].names[1:], *tie]
     keyed = with_keys(lines.select(*keep), "transaction_key", [*_LINE_ORDER, *tie], start)
     typed = [F.col(f.name).cast(f.dataType) for f in schemas.WAREHOUSE["fact_transactions"]]
-    return keyed.select(*typed, F.floor(F.col("transaction_date_key") / 100).cast("int").alias(MONTH))
+    return keyed.select(*typed, F.floor(F.col("transaction_date_key") / 10000).cast("int").alias(YEAR))
 
 
 def build_transactions(
@@ -203,7 +205,7 @@ def measures(fact: DataFrame, group: Sequence[str] = (), names: Sequence[str] =
 
 
 def since(fact: DataFrame, day: dt.date) -> DataFrame:
-    """Fact rows from ``day`` on, as bounds on the stored month and date key, so whole
-    months are pruned and the rest is skipped by file statistics."""
+    """Fact rows from ``day`` on, as bounds on the stored year and date key, so whole
+    years are pruned and the rest is skipped by file statistics."""
     rows = fact.filter(F.col("transaction_date_key") >= day.year * 10000 + day.month * 100 + day.day)
-    return rows.filter(F.col(MONTH) >= day.year * 100 + day.month) if MONTH in fact.columns else rows
+    return rows.filter(F.col(YEAR) >= day.year) if YEAR in fact.columns else rows

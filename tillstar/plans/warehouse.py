@@ -87,7 +87,7 @@ def load_transactions(store: TableStore, transactions: DataFrame, items: DataFra
         rows = facts.new_transactions(store.read("fact_transactions"), transactions, items, customer, product)
     else:
         rows = facts.build_transactions(transactions, items, customer, product)
-    return store.append(rows, "fact_transactions", [facts.MONTH])
+    return store.append(rows, "fact_transactions", [facts.YEAR])
 
 
 def load_responses(store: TableStore, responses: DataFrame) -> int:
