@@ -50,9 +50,8 @@ def shared_folder(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
-def path_exists(spark: SparkSession, pattern: str) -> bool:
-    """Whether a path or glob matches anything on the file system it names."""
-    jvm, sc = spark._jvm, spark.sparkContext
-    path = jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(sc._jsc.hadoopConfiguration()).globStatus(path)
-    return found is not None and len(found) > 0
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob, on whatever file system it names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(path)
+    return [status.getPath().toString() for status in found or ()]

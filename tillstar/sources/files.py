@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tillstar import schemas
 from tillstar.functions import row_hash
-from tillstar.session import path_exists
+from tillstar.session import matching_paths
 from tillstar.sources.tables import TableStore
 
 log = logging.getLogger(__name__)
@@ -36,7 +36,7 @@ def latest_file(spark: SparkSession, folder: str, glob: str) -> str | None:
     """Most recently modified source matching ``glob``; a source may be a file or a folder
     of part files. Only names and times are read, never contents."""
     pattern = f"{folder.rstrip('/')}/{glob}"
-    if not path_exists(spark, pattern):
+    if not matching_paths(spark, pattern):
         log.warning("no files match %s in %s", glob, folder)
         return None
     listed = spark.read.format("binaryFile").load(pattern)

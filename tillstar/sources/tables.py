@@ -1,4 +1,4 @@
-"""Parquet tables with appends, atomic replacement and simple metadata."""
+"""Parquet tables with appends, versioned replacement and simple metadata."""
 
 from __future__ import annotations
 
@@ -7,29 +7,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.session import path_exists
+from tillstar.session import matching_paths
 
 
 class TableStore:
     """Tables under one root folder.
 
-    ``replace`` writes a new version beside the old one and then records it in a small
-    pointer table, so a job may read a table while it rebuilds it, and a failed rebuild
-    leaves the old version in force. Old versions are kept.
+    ``replace`` writes a new version beside the old one. A version counts once its job has
+    committed (its ``_SUCCESS`` marker exists), so a job may read a table while it rebuilds
+    it, and a failed rebuild leaves the old version in force. Old versions are kept.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _pointer(self, name: str) -> str:
-        return f"{self.root}/{name}/pointer"
-
     def version(self, name: str) -> int | None:
-        if not path_exists(self.spark, self._pointer(name)):
-            return None
-        pointer = self.spark.read.schema("version INT").parquet(self._pointer(name))
-        return pointer.agg(F.max("version")).first()[0]
+        """Highest committed version, from file names alone."""
+        markers = matching_paths(self.spark, f"{self.root}/{name}/v*/_SUCCESS")
+        return max((int(m.rsplit("/", 2)[1].removeprefix("v")) for m in markers), default=None)
 
     def path(self, name: str, version: int | None = None) -> str:
         version = version or self.version(name)
@@ -76,7 +72,4 @@ class TableStore:
     def replace(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> int:
         """Write the whole table anew; returns the number of rows written."""
         version = (self.version(name) or 0) + 1
-        rows = self._write(df, self.path(name, version), "overwrite", partition_by)
-        pointer = self.spark.range(1).select(F.lit(version).alias("version"))
-        pointer.write.mode("append").parquet(self._pointer(name))
-        return rows
+        return self._write(df, self.path(name, version), "overwrite", partition_by)
