@@ -17,12 +17,24 @@ _ROW_BITS = 33
 def with_scan_position(df: DataFrame, name: str = "_scan_position") -> DataFrame:
     """Number the rows of a file scan, so that exact copies can be told apart.
 
-    Call it straight on a table scan: file splits do not change when a task is retried, so
-    the number of a row does not either.
+    Call it on a table scan with at most filters in between: file splits do not change when
+    a task is retried, so the number of a row does not either.
     """
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def stored_once(df: DataFrame, label: str) -> DataFrame:
+    """Write a DataFrame that several later steps need to the shared folder and read it back.
+
+    Later steps then prune columns and push filters into the stored copy, and a lost
+    executor does not bring the computation before it back.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{label}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def with_keys(
     df: DataFrame,
     key: str,
@@ -37,13 +49,10 @@ def with_keys(
     offset of each partition; it is broadcast back, so no task sees more than its own range.
     Keys are read off stored places, hence a lost executor cannot renumber rows.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/keys/{uuid.uuid4().hex}"
     ranged = df.repartitionByRange(partitions, *order_by) if partitions else df.repartitionByRange(*order_by)
     placed = ranged.sortWithinPartitions(*order_by).withColumn("_place", F.monotonically_increasing_id())
-    placed.write.parquet(path)
+    stored = stored_once(placed, "keys")
 
-    stored = spark.read.schema(placed.schema).parquet(path)
     part = F.shiftrightunsigned("_place", _ROW_BITS)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

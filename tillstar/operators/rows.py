@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillstar.operators.keys import with_scan_position
+
 
 def keep_latest(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column]) -> DataFrame:
     """One row per key, the first in ``newest_first`` order.
@@ -19,12 +21,30 @@ def keep_latest(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Colum
     return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") == 1).drop("_rank")
 
 
-def dedupe_staged(df: DataFrame, key: str) -> DataFrame:
-    """Latest load per business key; rows without the key are passed through untouched."""
-    others = [F.col(c).asc_nulls_last() for c in df.columns if c not in (key, "load_timestamp", "load_id")]
-    order = [F.col(c).desc_nulls_last() for c in ("load_timestamp", "load_id") if c in df.columns] + others
-    keyed = keep_latest(df.filter(F.col(key).isNotNull()), [key], order)
-    return keyed.unionByName(df.filter(F.col(key).isNull()))
+def _load_order(df: DataFrame, key: str) -> list[Column]:
+    """Newest load first. Rows of one load are told apart by their row hash, or by all their
+    columns where there is none."""
+    newest = [F.col(c).desc_nulls_last() for c in ("load_timestamp", "load_id") if c in df.columns]
+    rest = ["row_hash"] if "row_hash" in df.columns else [c for c in df.columns if c != key]
+    return newest + [F.col(c).asc_nulls_last() for c in rest]
+
+
+def latest_load(df: DataFrame, key: str) -> DataFrame:
+    """Latest staged row per business key; rows without the key are dropped."""
+    return keep_latest(df.filter(F.col(key).isNotNull()), [key], _load_order(df, key))
+
+
+def dedupe_staged(df: DataFrame, key: str, position: str | None = None) -> DataFrame:
+    """Latest staged row per key, with rows lacking the key passed through untouched.
+
+    Both halves filter the scan on the key, so row groups without (or with only) missing
+    keys are skipped by their statistics. ``position`` names a column to number the scanned
+    rows with.
+    """
+    keyed, unkeyed = df.filter(F.col(key).isNotNull()), df.filter(F.col(key).isNull())
+    if position:
+        keyed, unkeyed = with_scan_position(keyed, position), with_scan_position(unkeyed, position)
+    return keep_latest(keyed, [key], _load_order(df, key)).unionByName(unkeyed)
 
 
 def differs(pairs: Sequence[tuple[Column, Column]]) -> Column:

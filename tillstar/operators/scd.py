@@ -9,7 +9,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.operators.keys import with_keys
+from tillstar.operators.keys import stored_once, with_keys
 from tillstar.operators.rows import differs, not_yet_in
 
 OPEN_END = dt.date(9999, 12, 31)
@@ -108,11 +108,12 @@ def scd2_merge(
 ) -> Scd2Result:
     """Merge one snapshot (one row per key) into a versioned dimension.
 
-    History is copied; current versions are expired or updated in place by one join on the
+    Staged keys are compared with the current versions once and stored with their label.
+    History is copied; current versions are expired or updated in place by a join on the
     business key; new versions are added with keys above the highest existing one. All
     comparisons are null-safe. Also returns the number of keys per change label.
     """
-    classified = classify(dim.filter("is_current"), staged, business_key, tracked, in_place)
+    classified = stored_once(classify(dim.filter("is_current"), staged, business_key, tracked, in_place), "changes")
     verdict = classified.select(
         F.col(business_key).alias("_id"), "change", *[F.col(c).alias(f"_new_{c}") for c in in_place]
     )

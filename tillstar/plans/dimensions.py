@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillstar import schemas
 from tillstar.functions import age_group, date_key, percent, quarter_end, whole_year_age
 from tillstar.operators.keys import with_keys
-from tillstar.operators.rows import dedupe_staged
+from tillstar.operators.rows import latest_load
 from tillstar.operators.scd import Scd2Result, append_new, scd1_upsert, scd2_merge
 
 # Which customer attributes open a new version and which change in place.
@@ -33,7 +33,7 @@ def derive_product(staged: DataFrame) -> DataFrame:
     """Latest staged row per product with margin and activity flag; rows without id dropped."""
     margin = percent(F.col("retail_price") - F.col("unit_cost"), "retail_price")
     return (
-        dedupe_staged(staged.filter(F.col("product_id").isNotNull()), "product_id")
+        latest_load(staged, "product_id")
         .select(
             "product_id", "product_name", "product_category", "product_subcategory", "brand", "unit_cost",
             "retail_price", margin.cast("decimal(9,2)").alias("margin_percentage"), "product_status",
@@ -60,7 +60,7 @@ def upsert_product(dim: DataFrame, staged: DataFrame) -> DataFrame:
 
 def derive_campaign(staged: DataFrame) -> DataFrame:
     return (
-        dedupe_staged(staged.filter(F.col("campaign_id").isNotNull()), "campaign_id")
+        latest_load(staged, "campaign_id")
         .select(
             "campaign_id", "campaign_name", "campaign_type", "channel", "start_date", "end_date",
             F.date_diff("end_date", "start_date").alias("duration_days"), "budget", "target_audience",
@@ -90,7 +90,7 @@ def derive_customer(staged: DataFrame, as_of: dt.date) -> DataFrame:
 
     A missing name part leaves the full name missing. Age counts blocks of 365 days.
     """
-    latest = dedupe_staged(staged.filter(F.col("customer_id").isNotNull()), "customer_id")
+    latest = latest_load(staged, "customer_id")
     return (
         latest.select(*schemas.SOURCE["stg_crm_customers"].names)
         .withColumn("full_name", F.concat("first_name", F.lit(" "), "last_name"))

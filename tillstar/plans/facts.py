@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from tillstar import schemas
 from tillstar.functions import date_key, decimal_sum, mean, month_key, percent
-from tillstar.operators.keys import with_keys, with_scan_position
+from tillstar.operators.keys import with_keys
 from tillstar.operators.lookup import lookup, lookup_scd2
-from tillstar.operators.rows import dedupe_staged, not_yet_in
+from tillstar.operators.rows import dedupe_staged, latest_load, not_yet_in
 
 # Storage partition of the fact. Files are sorted by date within it, so file statistics skip
 # within a year and the number of folders stays small.
@@ -20,13 +20,15 @@ YEAR = "transaction_year"
 
 
 def _present(df: DataFrame, *columns: str) -> DataFrame:
-    return df.dropna(subset=list(columns))
+    for c in columns:
+        df = df.filter(F.col(c).isNotNull())
+    return df
 
 
 def headers_with_items(transactions: DataFrame, items: DataFrame) -> DataFrame:
     """Order lines with their header. Both sides are reduced to the latest load first, so
     loading a file twice does not multiply lines."""
-    t = dedupe_staged(_present(transactions, "transaction_id", "customer_id"), "transaction_id")
+    t = latest_load(_present(transactions, "customer_id"), "transaction_id")
     i = dedupe_staged(_present(items, "transaction_id", "product_id"), "transaction_item_id")
     header = t.select(
         "transaction_id", "customer_id", "transaction_date", "order_number", "payment_method", "payment_status",
@@ -46,6 +48,7 @@ def transaction_lines(
     dim_product: DataFrame,
     inclusive: bool = False,
     keep_orphans: bool = False,
+    position: str | None = None,
 ) -> DataFrame:
     """Fact rows without surrogate key: one per order line.
 
@@ -56,15 +59,15 @@ def transaction_lines(
     """
     how = "left" if keep_orphans else "inner"
     header = (
-        dedupe_staged(_present(transactions, "transaction_id", "customer_id"), "transaction_id")
+        latest_load(_present(transactions, "customer_id"), "transaction_id")
         .select(
             "transaction_id", "customer_id", F.to_date("transaction_date").alias("_day"), "order_number",
             "payment_method", "payment_status", "tax_amount", "shipping_amount", "currency_code",
         )
     )
     header = lookup_scd2(header, dim_customer, "customer_id", "_day", "customer_key", inclusive=inclusive, how=how)
-    lines = dedupe_staged(_present(items, "transaction_id", "product_id"), "transaction_item_id")
-    extra = [c for c in lines.columns if c.startswith("_")]
+    lines = dedupe_staged(_present(items, "transaction_id", "product_id"), "transaction_item_id", position)
+    extra = [position] if position else []
     lines = lookup(lines, dim_product, "product_id", "product_key", how=how).select(
         "transaction_id", "product_key", "quantity", "unit_price", "line_total", "discount_amount", *extra
     )
@@ -77,7 +80,10 @@ def transaction_lines(
     )
 
 
-# Key order of fact rows; what is left equal after these columns are exact copies.
+# Tells exact copies of a line apart, so that many copies still spread over tasks.
+_POSITION = "_scan_position"
+
+# Key order of fact rows; rows that are equal in all of these are exact copies.
 _LINE_ORDER = (
     "transaction_date_key", "transaction_id", "product_key", "quantity", "unit_price", "line_total",
     "discount_amount", "customer_key",
@@ -86,7 +92,7 @@ _LINE_ORDER = (
 
 def key_transactions(lines: DataFrame, start: Column | int = 1) -> DataFrame:
     """Number fact rows by date and transaction and add the storage year."""
-    tie = [c for c in lines.columns if c == "_scan_position"]
+    tie = [c for c in lines.columns if c == _POSITION]
     keep = [*schemas.WAREHOUSE["fact_transactions"].names[1:], *tie]
     keyed = with_keys(lines.select(*keep), "transaction_key", [*_LINE_ORDER, *tie], start)
     typed = [F.col(f.name).cast(f.dataType) for f in schemas.WAREHOUSE["fact_transactions"]]
@@ -98,8 +104,9 @@ def build_transactions(
     inclusive: bool = False,
 ) -> DataFrame:
     """First load of the transaction fact. ``items`` should be a plain table scan."""
-    placed = with_scan_position(items)
-    return key_transactions(transaction_lines(transactions, placed, dim_customer, dim_product, inclusive))
+    return key_transactions(
+        transaction_lines(transactions, items, dim_customer, dim_product, inclusive, position=_POSITION)
+    )
 
 
 def new_transactions(
@@ -109,7 +116,7 @@ def new_transactions(
     transaction already loaded are left out."""
     fresh = not_yet_in(transactions, fact, ["transaction_id"])
     start = F.coalesce(fact.agg(F.max("transaction_key")).scalar(), F.lit(0)) + 1
-    return key_transactions(transaction_lines(fresh, with_scan_position(items), dim_customer, dim_product), start)
+    return key_transactions(transaction_lines(fresh, items, dim_customer, dim_product, position=_POSITION), start)
 
 
 def response_rows(
@@ -117,7 +124,7 @@ def response_rows(
 ) -> DataFrame:
     """Fact rows of campaign responses without surrogate key. A response has one type, so at
     most one of its flags is set."""
-    latest = dedupe_staged(_present(responses, "response_id", "campaign_id", "customer_id"), "response_id")
+    latest = latest_load(_present(responses, "campaign_id", "customer_id"), "response_id")
     found = lookup_scd2(latest, dim_customer, "customer_id", "response_date", "customer_key", inclusive=inclusive)
     found = lookup(found, dim_campaign, "campaign_id", "campaign_key")
 
