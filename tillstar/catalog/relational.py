@@ -12,6 +12,7 @@ from tillstar.catalog.base import (
 from tillstar.functions import decimal_sum, mean, ratio, row_count
 from tillstar.operators import aggregates, rows
 from tillstar.operators.lookup import lookup, lookup_scd2
+from tillstar.operators.pairs import name_pairs
 from tillstar.plans import dimensions, facts
 
 # --- projections and filters ----------------------------------------------------------------
@@ -198,17 +199,17 @@ def _(c: Context) -> DataFrame:
     return monthly.join(before, "year_month").select("year_month", "revenue", "year_before")
 
 
-@query("J07_pair_self_join", """
-    select a.transaction_id, a.product_key as product_1, b.product_key as product_2
-    from (select distinct transaction_id, product_key from fact_transactions) a
-    join (select distinct transaction_id, product_key from fact_transactions) b
-      on a.transaction_id = b.transaction_id and a.product_key < b.product_key""")
+@query("J07_pair_self_join", f"""
+    select p1.product_name as product_1, p2.product_name as product_2, count(*) as line_pairs,
+           count(distinct a.transaction_id) as transactions
+    from fact_transactions a
+    join fact_transactions b on a.transaction_id = b.transaction_id and a.product_key < b.product_key
+    join dim_product p1 on a.product_key = p1.product_key join dim_product p2 on b.product_key = p2.product_key
+    group by 1, 2""")
 def _(c: Context) -> DataFrame:
-    # copies of a line are removed first; adaptive execution splits a very large basket
-    lines = c["fact_transactions"].select("transaction_id", "product_key").distinct()
-    first = lines.withColumnRenamed("product_key", "product_1")
-    second = lines.withColumnRenamed("product_key", "product_2")
-    return first.join(second, "transaction_id").filter("product_1 < product_2")
+    return name_pairs(c["fact_transactions"], c["dim_product"], min_transactions=1, slice_size=4).select(
+        "product_1", "product_2", "line_pairs", F.col("times_bought_together").alias("transactions")
+    )
 
 
 @query("J08_not_exists", """

@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def own_exchange(key: str) -> Column:
+    """A join key equal to ``key`` that does not count as partitioned yet.
+
+    A join that reuses the partitioning of an earlier step has no exchange on that side, and
+    adaptive execution can only split a hot key where both sides have one. Use it for the
+    small side of a join whose other side may be skewed.
+    """
+    return F.concat(F.col(key), F.lit(""))
+
+
 def lookup_scd2(
     df: DataFrame,
     dim: DataFrame,

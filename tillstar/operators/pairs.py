@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillstar.operators.keys import stored_once
+
 # A basket with more distinct products than this is paired in several independent slices.
 SLICE = 1000
 
@@ -15,18 +17,18 @@ def name_pairs(fact: DataFrame, product: DataFrame, min_transactions: int, slice
     Lines pair up within a transaction when the first product key is the smaller one.
     Three exact reductions keep the pairing small:
 
-    * lines are summed per (transaction, product) first; n1 and n2 lines with sums s1 and s2
-      make n1*n2 line pairs worth n2*s1 + n1*s2, so copies of a line never multiply rows;
+    * lines are summed per (transaction, product) first and stored; n1 and n2 lines with sums
+      s1 and s2 make n1*n2 line pairs worth n2*s1 + n1*s2, so copies of a line never
+      multiply rows;
     * a name seen in fewer than ``min_transactions`` transactions cannot be in a result pair
-      and is dropped before the pairing;
+      and is dropped before the pairing, which empties a huge basket of one-off products;
     * a large basket is sliced by the second product's name. Slices go to different tasks,
       and since a name lies in one slice, each (transaction, pair) is still formed once.
     """
-    lines = (
-        fact.groupBy("transaction_id", "product_key")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("net_amount").cast("decimal(28,2)").alias("s"))
-        .join(product.select("product_key", "product_name"), "product_key")
+    summed = fact.groupBy("transaction_id", "product_key").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("net_amount").cast("decimal(28,2)").alias("s")
     )
+    lines = stored_once(summed.join(product.select("product_key", "product_name"), "product_key"), "baskets")
     frequent = (
         lines.groupBy("product_name")
         .agg(F.count_distinct("transaction_id").alias("support"))
@@ -34,10 +36,12 @@ def name_pairs(fact: DataFrame, product: DataFrame, min_transactions: int, slice
         .select("product_name")
     )
     kept = lines.join(frequent, "product_name")
-    baskets = kept.groupBy("transaction_id").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(float(slice_size))).cast("int").alias("slices")
+    large = (
+        kept.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("products"))
+        .filter(F.col("products") > slice_size)
+        .select("transaction_id", F.ceil(F.col("products") / F.lit(float(slice_size))).cast("int").alias("slices"))
     )
-    sliced = kept.join(baskets, "transaction_id")
+    sliced = kept.join(large, "transaction_id", "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
     left = sliced.select(
         "transaction_id",
         F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),

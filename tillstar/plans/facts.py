@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tillstar import schemas
 from tillstar.functions import date_key, decimal_sum, mean, month_key, percent
 from tillstar.operators.keys import with_keys
-from tillstar.operators.lookup import lookup, lookup_scd2
+from tillstar.operators.lookup import lookup, lookup_scd2, own_exchange
 from tillstar.operators.rows import dedupe_staged, latest_load, not_yet_in
 
 # Storage partition of the fact. Files are sorted by date within it, so file statistics skip
@@ -34,7 +34,7 @@ def headers_with_items(transactions: DataFrame, items: DataFrame) -> DataFrame:
         "transaction_id", "customer_id", "transaction_date", "order_number", "payment_method", "payment_status",
         "tax_amount", "shipping_amount", "currency_code",
     )
-    return header.join(
+    return header.withColumn("transaction_id", own_exchange("transaction_id")).join(
         i.select("transaction_id", "transaction_item_id", "product_id", "quantity", "unit_price", "line_total",
                  "discount_amount"),
         "transaction_id",
@@ -71,6 +71,8 @@ def transaction_lines(
     lines = lookup(lines, dim_product, "product_id", "product_key", how=how).select(
         "transaction_id", "product_key", "quantity", "unit_price", "line_total", "discount_amount", *extra
     )
+    # a transaction may hold very many lines: let the join split it
+    header = header.withColumn("transaction_id", own_exchange("transaction_id"))
     return header.join(lines, "transaction_id").withColumns(
         {
             "transaction_date_key": date_key("_day"),
