@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import re
+import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +27,7 @@ STAGED = (
 )
 
 _BUILT: dict[tuple[str, str], set[str]] = {}
+_LOCK = threading.RLock()
 
 
 class Context:
@@ -45,14 +48,13 @@ class Context:
         self.store = TableStore(spark, f"{self.root}/warehouse")
 
     def scratch(self, name: str) -> str:
-        import uuid
-
         return f"{self.root}/{name}-{uuid.uuid4().hex[:12]}"
 
     def once(self, name: str, build: Callable[[], object]) -> None:
-        if name not in self._built:
-            build()
-            self._built.add(name)
+        with _LOCK:
+            if name not in self._built:
+                build()
+                self._built.add(name)
 
     def stg(self, name: str) -> DataFrame:
         self.once(

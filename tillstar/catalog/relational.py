@@ -58,7 +58,8 @@ def _(c: Context) -> DataFrame:
       and date_key in (select transaction_date_key from fact_transactions)""")
 def _(c: Context) -> DataFrame:
     used = rows.already_in(
-        c["dim_date"], c["fact_transactions"].select(F.col("transaction_date_key").alias("date_key")), ["date_key"]
+        c["dim_date"], c["fact_transactions"].select(F.col("transaction_date_key").alias("date_key")), ["date_key"],
+        repeated=True,
     )
     dow = F.col("day_of_week")
     return used.filter(dow.isin(0, 6) & ~F.col("month_number").isin(6, 7, 8)).select(
@@ -216,7 +217,7 @@ def _(c: Context) -> DataFrame:
     select customer_key, customer_id from dim_customer c
     where not exists (select 1 from fact_transactions f where f.customer_key = c.customer_key)""")
 def _(c: Context) -> DataFrame:
-    return rows.not_yet_in(c["dim_customer"], c["fact_transactions"], ["customer_key"]).select(
+    return rows.not_yet_in(c["dim_customer"], c["fact_transactions"], ["customer_key"], repeated=True).select(
         "customer_key", "customer_id"
     )
 

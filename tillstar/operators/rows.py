@@ -52,14 +52,23 @@ def differs(pairs: Sequence[tuple[Column, Column]]) -> Column:
     return reduce(lambda a, b: a | b, (~left.eqNullSafe(right) for left, right in pairs))
 
 
-def not_yet_in(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key does not occur in ``existing``."""
-    return df.join(existing.select(*keys), list(keys), "left_anti")
+def _keys_of(existing: DataFrame, keys: Sequence[str], repeated: bool) -> DataFrame:
+    picked = existing.select(*keys)
+    return picked.distinct() if repeated else picked
 
 
-def already_in(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key occurs in ``existing``."""
-    return df.join(existing.select(*keys), list(keys), "left_semi")
+def not_yet_in(df: DataFrame, existing: DataFrame, keys: Sequence[str], repeated: bool = False) -> DataFrame:
+    """Rows whose key does not occur in ``existing``.
+
+    Set ``repeated`` when keys occur many times there: copies are then combined on the map
+    side, in the partitioning the join needs anyway, and a hot key travels once per task.
+    """
+    return df.join(_keys_of(existing, keys, repeated), list(keys), "left_anti")
+
+
+def already_in(df: DataFrame, existing: DataFrame, keys: Sequence[str], repeated: bool = False) -> DataFrame:
+    """Rows whose key occurs in ``existing``; ``repeated`` as for ``not_yet_in``."""
+    return df.join(_keys_of(existing, keys, repeated), list(keys), "left_semi")
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

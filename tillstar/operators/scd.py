@@ -114,7 +114,8 @@ def scd2_merge(
     comparisons are null-safe. Also returns the number of keys per change label.
     """
     classified = stored_once(classify(dim.filter("is_current"), staged, business_key, tracked, in_place), "changes")
-    verdict = classified.select(
+    # unchanged keys, usually almost all, need no join: their versions stay as they are
+    verdict = classified.filter(F.col("change").isin("scd2_changed", "type1_changed")).select(
         F.col(business_key).alias("_id"), "change", *[F.col(c).alias(f"_new_{c}") for c in in_place]
     )
     carried = (

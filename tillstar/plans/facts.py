@@ -116,7 +116,7 @@ def new_transactions(
 ) -> DataFrame:
     """Rows to append: transactions not in the fact yet, as a whole. Lines that arrive for a
     transaction already loaded are left out."""
-    fresh = not_yet_in(transactions, fact, ["transaction_id"])
+    fresh = not_yet_in(transactions, fact, ["transaction_id"], repeated=True)
     start = F.coalesce(fact.agg(F.max("transaction_key")).scalar(), F.lit(0)) + 1
     return key_transactions(transaction_lines(fresh, items, dim_customer, dim_product, position=_POSITION), start)
 
