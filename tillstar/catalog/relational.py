@@ -11,6 +11,7 @@ from tillstar.catalog.base import (
 )
 from tillstar.functions import decimal_sum, mean, ratio, row_count
 from tillstar.operators import aggregates, rows
+from tillstar.operators.keys import stored_once
 from tillstar.operators.lookup import lookup, lookup_scd2
 from tillstar.operators.pairs import name_pairs
 from tillstar.plans import dimensions, facts
@@ -195,7 +196,7 @@ def _(c: Context) -> DataFrame:
           from dated_sales group by 1) b on a.year_month = b.year_month + 100""")
 def _(c: Context) -> DataFrame:
     month = F.floor(F.col("transaction_date_key") / 100).cast("int").alias("year_month")
-    monthly = c["fact_transactions"].groupBy(month).agg(decimal_sum("net_amount").alias("revenue"))
+    monthly = stored_once(c["fact_transactions"].groupBy(month).agg(decimal_sum("net_amount").alias("revenue")), "monthly")
     before = monthly.select((F.col("year_month") + 100).alias("year_month"), F.col("revenue").alias("year_before"))
     return monthly.join(before, "year_month").select("year_month", "revenue", "year_before")
 
@@ -481,6 +482,7 @@ def _(c: Context) -> DataFrame:
 def _(c: Context) -> DataFrame:
     month = F.floor(F.col("transaction_date_key") / 100).cast("int").alias("transaction_month")
     monthly = c["fact_transactions"].groupBy(month).agg(decimal_sum("net_amount").alias("revenue"))
+    monthly = stored_once(monthly, "monthly")
     average = monthly.agg(mean("revenue")).scalar()
     return monthly.withColumn("above_average", ratio("revenue", average) > 1)
 

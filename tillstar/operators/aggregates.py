@@ -8,6 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillstar.functions import percent
+from tillstar.operators.keys import stored_once
+
 
 def group_with_distincts(
     df: DataFrame,
@@ -39,12 +42,11 @@ def group_with_distincts(
 def share_of_total(grouped: DataFrame, value: str, name: str) -> DataFrame:
     """Add ``value`` as a percentage of its total over all groups.
 
-    The total is a scalar subquery over the grouped rows, so no task has to hold them all.
+    The grouped rows are stored once and the total is a scalar subquery over the stored
+    rows: the fact is read once, and no task has to hold all groups.
     """
-    from tillstar.functions import percent
-
-    total = grouped.agg(F.sum(value)).scalar()
-    return grouped.withColumn(name, percent(F.col(value), total))
+    kept = stored_once(grouped, "shares")
+    return kept.withColumn(name, percent(F.col(value), kept.agg(F.sum(value)).scalar()))
 
 
 def exact_mean(value: Column, digits: int = 6) -> Column:

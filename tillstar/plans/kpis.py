@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tillstar.functions import decimal_sum, percent, ratio, row_count, score_band
 from tillstar.operators.aggregates import share_of_total
+from tillstar.operators.keys import stored_once
 from tillstar.plans import analytics
 from tillstar.plans.facts import since
 from tillstar.plans.validation import REFERENCES, orphans
@@ -130,7 +131,8 @@ def month_over_month(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     The spine has one row per month between the first and the last sale, a few hundred at
     most, so the ordered window over it is small.
     """
-    monthly = revenue_per_period(fact, dim_date, "month")
+    # read twice, for the bounds and for the values: a few hundred stored rows
+    monthly = stored_once(revenue_per_period(fact, dim_date, "month"), "monthly")
     bounds = monthly.agg(F.min("period_start").alias("first"), F.max("period_start").alias("last"))
     spine = bounds.filter(F.col("first").isNotNull()).select(
         F.explode(F.sequence("first", "last", F.expr("interval 1 month"))).alias("period_start")
