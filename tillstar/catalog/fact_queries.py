@@ -1,4 +1,4 @@
-"""Fact builds, aggregates, pipeline and validation."""
+"""Fact builds, aggregates, whole loads and validation."""
 
 from __future__ import annotations
 
@@ -164,7 +164,7 @@ def _(c: Context) -> DataFrame:
     return facts.measures(c["fact_transactions"], ["payment_method"])
 
 
-# --- pipeline and validation ----------------------------------------------------------------
+# --- whole loads and validation -------------------------------------------------------------
 
 define("customers_whole", """
     select row_number() over (order by customer_id) as customer_key, *, registration_date as valid_from,
