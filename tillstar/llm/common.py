@@ -44,6 +44,18 @@ def fold(id_column: str, parts: int) -> Column:
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % parts, F.lit(0)).cast("int")
 
 
+def spans_of(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbours whose sizes sum to ``most`` at most; a larger one stands alone."""
+    begin, total = 0, 0
+    for i, size in enumerate(sizes):
+        if i > begin and total + size > most:
+            yield begin, i
+            begin, total = i, 0
+        total += size
+    if begin < len(sizes):
+        yield begin, len(sizes)
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import minhash, packing, sharding
+from tillstar.llm import language, minhash, packing, sharding
 from tillstar.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,11 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+@query
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
+
+
 def tokenizer_file() -> str:
     import public_tokenizers
 
