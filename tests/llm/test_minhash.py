@@ -3,6 +3,8 @@
 import itertools
 import random
 
+import numpy as np
+
 from tillstar.llm import minhash
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, band string"
@@ -80,3 +82,29 @@ def test_null_empty_short_and_repeated_rows(spark):
 
 def test_empty_table(spark):
     assert run(spark, []) == []
+
+
+def test_intersections_agree_with_sets():
+    rng = np.random.default_rng(8)
+    for count, values, most in ((1, 5, 4), (60, 40, 30), (90, 400, 60)):
+        sets = [np.sort(rng.choice(values, rng.integers(0, min(most, values)), replace=False)) for _ in range(count)]
+        if not sum(map(len, sets)):
+            continue
+        got = minhash.intersections(sets)
+        for i in range(count):
+            for j in range(count):
+                if i != j:
+                    assert got[i, j] == len(set(sets[i]) & set(sets[j]))
+
+
+def test_large_group_with_loose_members(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "GROUP_DOCS", 16)  # groups are cut into several blocks
+    rng = random.Random(6)
+    base, rows = [f"w{i}" for i in range(100)], []
+    for doc in range(120):
+        text = list(base)
+        for _ in range(rng.randint(0, 9)):
+            text[rng.randrange(100)] = f"new{rng.randrange(10**6)}"
+        rows.append((doc, " ".join(text)))
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in run(spark, rows)}
+    assert got == brute(rows)

@@ -104,6 +104,19 @@ def runs(batches: Iterable[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[p
         yield pa.Table.from_batches(held)
 
 
+def smallest_reachable(x: np.ndarray, y: np.ndarray, count: int) -> np.ndarray:
+    """For nodes 0..count-1 and links x[i]-y[i], the smallest node each can reach."""
+    root = np.arange(count)
+    while True:
+        near = root.copy()
+        np.minimum.at(near, x, root[y])
+        np.minimum.at(near, y, root[x])
+        near = near[near]
+        if (near == root).all():
+            return root
+        root = near
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges ``a``, ``b``: every node with the smallest node it reaches.
 

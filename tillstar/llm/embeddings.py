@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import components, runs, stored, with_small_batches
+from tillstar.llm.common import components, runs, smallest_reachable, stored, with_small_batches
 
 THRESHOLD = 0.93
 SEED = 11
@@ -88,14 +88,7 @@ def _link(threshold: float):
             for t in range(table):
                 new &= codes[x, t] != codes[y, t]
             links = np.bincount(x[new], copies[y[new]], len(rep)).astype(np.int64)
-            root = np.arange(len(rep))
-            while True:  # the smallest member that each can reach within this block
-                near = root.copy()
-                np.minimum.at(near, x, root[y])
-                near = near[near]
-                if (near == root).all():
-                    break
-                root = near
+            root = smallest_reachable(x, y, len(rep))
             used = np.flatnonzero((links > 0) | (root != np.arange(len(rep))))
             if len(used):
                 yield pa.RecordBatch.from_arrays(

@@ -16,7 +16,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import components, mix64, rolling_hashes, stored, text_rows, with_small_batches, word_hashes
+from tillstar.llm.common import (
+    components, mix64, rolling_hashes, runs, smallest_reachable, stored, text_rows, with_small_batches, word_hashes,
+)
 
 SHINGLE_WORDS = 4
 PERCENT = 80
@@ -24,6 +26,8 @@ PERCENT = 80
 BANDS, BAND_ROWS = 25, 5
 # Shingles permuted at a time, so that the working arrays stay in a core's cache.
 _BLOCK = 1 << 15
+# Documents, and shingles of these, that are compared with each other in one go.
+GROUP_DOCS, GROUP_SHINGLES = 1024, 1 << 19
 
 
 def shingle_set(text: bytes | None, width: int) -> np.ndarray:
@@ -125,6 +129,75 @@ def _compare(width: int):
     return compare
 
 
+def _sets(width: int):
+    schema = pa.schema([("a", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for r in batch.to_pylist():
+                shingles = shingle_set(r["text"], width)
+                if set_key(shingles) == r["key_a"]:
+                    rows.append((r["a"], shingles.view(np.int64)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([a for a, _ in rows], pa.int64()), pa.array([s for _, s in rows], pa.list_(pa.int64()))], schema=schema)
+
+    return sets
+
+
+def intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all pairwise intersections of sets of distinct numbers."""
+    count, common = len(sets), 32
+    doc = np.repeat(np.arange(count), [len(s) for s in sets])
+    order = np.argsort(values := np.concatenate(sets), kind="stable")
+    values, doc = values[order], doc[order]
+    first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+    holders = np.diff(np.concatenate([first, [len(values)]]))
+    column = np.repeat(np.arange(len(first)), holders)
+    often = holders > common
+    out = np.zeros(count * count, np.int64)
+    # A shingle of many documents is a column of a matrix, others are paired up one distance at a time.
+    dense, place = np.flatnonzero(often), np.cumsum(often) - 1
+    total = np.zeros((count, count), np.float32)
+    for begin in range(0, len(dense), 4096):
+        own = often[column] & (place[column] >= begin) & (place[column] < begin + 4096)
+        matrix = np.zeros((count, min(4096, len(dense) - begin)), np.float32)
+        matrix[doc[own], place[column[own]] - begin] = 1
+        total += matrix @ matrix.T
+    few = ~often[column]
+    doc, column = doc[few], column[few]
+    for apart in range(1, common):
+        same = np.flatnonzero(column[apart:] == column[:-apart])
+        if not len(same):
+            break
+        out += np.bincount(doc[same] * count + doc[same + apart], minlength=count * count)
+    out = out.reshape(count, count)
+    return out + out.T + np.rint(total).astype(np.int64)
+
+
+def _join_groups(percent: int):
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def join_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in runs(batches, ("band", "low", "high")):
+            ids = run.column("a").to_numpy()
+            order = np.argsort(ids)
+            ids, of = ids[order], run.column("of_a").to_numpy()[order]
+            sets = run.column("shingles").combine_chunks()
+            values, ends = sets.flatten().to_numpy(), np.cumsum(sets.value_lengths().to_numpy())
+            sets = [values[ends[i - 1] if i else 0:ends[i]] for i in order]
+            sizes = np.asarray([len(s) for s in sets])
+            both = intersections(sets)
+            linked = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
+            x, y = np.nonzero(np.triu(linked & (of[:, None] != of[None, :]), 1))
+            root = smallest_reachable(x, y, len(ids))
+            used = np.flatnonzero(root != np.arange(len(ids)))
+            if len(used):
+                yield pa.RecordBatch.from_arrays([pa.array(ids[used]), pa.array(ids[root[used]])], schema=schema)
+
+    return join_groups
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
     """Exact intersection and union sizes of pairs ``a``, ``b`` on full shingle sets."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
@@ -147,10 +220,10 @@ def near_duplicates(
 
     Documents are linked when 100 * intersection >= percent * union of their sets of word
     shingles (64-bit hashes). Equal sets count as one class. In each bucket of a band every class is
-    compared with the smallest one; then only classes that are still in different components
-    and that the triangle inequality of the Jaccard distance does not rule out are compared
-    pairwise. So a group of copies costs a comparison each, and no link found by banding
-    that could join two components is left out.
+    compared with the smallest one. Where a bucket then holds classes of different components, those
+    that the triangle inequality of the Jaccard distance does not rule out meet again, in blocks whose
+    intersections are counted at once in one task; what leaves the task is a spanning forest, never pairs. So a group of
+    copies costs a comparison each, and no link found by banding that could join two components is left out.
 
     Null, empty or blank text: no shingles, linked with nothing. A null doc_id is linked with
     nothing, has a null component and is kept. Repeated rows of one doc_id are one document.
@@ -192,21 +265,24 @@ def near_duplicates(
     if not apart.isEmpty():
         reach = 1 - percent / 100 + 1e-9
         loose = stored(
-            placed.join(apart, "band").filter(f"of_a <> of_b or distance >= nearest - {reach}").drop("nearest", "of_b"),
-            "loose")
-        other = loose.select(
-            "band", F.col("a").alias("b"), F.col("n_a").alias("n_b"), F.col("key_a").alias("key_b"),
-            F.col("of_a").alias("of_b"), F.col("exact").alias("exact_b"), F.col("distance").alias("distance_b"))
-        more = (
-            loose.join(other, "band").filter("of_a < of_b").filter(possible)
-            .filter(f"not (exact and distance_b - distance > {reach}) and not (exact_b and distance - distance_b > {reach})")
-            .select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a"),
-                    F.when(F.col("a") < F.col("b"), F.col("key_a")).otherwise(F.col("key_b")).alias("key_b"),
-                    F.when(F.col("a") < F.col("b"), F.col("key_b")).otherwise(F.col("key_a")).alias("key_a"))
-            .distinct().join(verified.select("a", "b"), ["a", "b"], "left_anti"))
-        more = stored(more, "pairs")
+            placed.join(apart, "band").filter(f"of_a <> of_b or distance >= nearest - {reach}")
+            .select("band", "a", "n_a", "key_a", "of_a"), "loose")
+        texts = docs.select(F.col("doc_id").cast("bigint").alias("a"), F.col("text").cast("binary").alias("text"))
+        sets = stored(
+            with_small_batches(loose.select("a", "key_a").distinct().join(texts, "a"))
+            .mapInArrow(_sets(shingle_words), "a bigint, shingles array<bigint>"), "sets")
+        groups = stored(
+            loose.groupBy("band").agg(
+                F.ceil(F.greatest(F.count(F.lit(1)) / GROUP_DOCS, F.sum("n_a") / GROUP_SHINGLES)).alias("blocks")), "groups")
+        dealt = (
+            loose.select("band", "a", "of_a").join(groups, "band").join(sets.dropDuplicates(["a"]), "a")
+            .withColumn("block", F.pmod(F.xxhash64("a"), F.col("blocks")))
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+            .select("band", "a", "of_a", "shingles", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+            .repartition("band", "low", "high").sortWithinPartitions("band", "low", "high"))
+        more = stored(with_small_batches(dealt).mapInArrow(_join_groups(percent), "a bigint, b bigint"), "more")
         if not more.isEmpty():
-            labels = components(edges.union(_verified(docs, more, shingle_words).filter(linked).select("a", "b")))
+            labels = components(edges.union(more))
 
     grouped = classes.select("set_key", F.col("rep").alias("node")).join(labels, "node", "left").select(
         "set_key", F.coalesce("component", "node").alias("component"))
