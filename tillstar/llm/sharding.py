@@ -14,6 +14,8 @@ SEED = 20240607
 # Target of UTF-8 text in one bucket, which one task holds and shuffles in memory.
 BUCKET_BYTES = 4 << 20
 _BUCKETS_IN_TASK = 8
+# Offsets of so many buckets, two numbers each, are small enough to broadcast.
+BROADCAST_BUCKETS = 1_000_000
 
 
 def two_pass_shuffle(docs: DataFrame, *, shards: int = SHARDS, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
@@ -48,6 +50,8 @@ def two_pass_shuffle(docs: DataFrame, *, shards: int = SHARDS, seed: int = SEED,
         shuffled.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
         # one row for each bucket_bytes of the corpus
         .select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")))
+    if buckets <= BROADCAST_BUCKETS:  # else the join is left to the optimizer
+        offsets = F.broadcast(offsets)
     place = F.col("first") + F.col("at")
     return shuffled.join(offsets, "bucket").select(
         *[F.col("fields").getField(c).alias(c) for c in carried], (place % shards).cast("int").alias("shard"),
