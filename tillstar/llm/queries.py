@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import embeddings, language, minhash, packing, sharding
+from tillstar.llm import embeddings, language, licenses, minhash, packing, sharding
 from tillstar.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,11 @@ def op2_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, folder, "embeddings"))
 
 
+@query
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 @query
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"))
