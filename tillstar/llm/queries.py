@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import embeddings, language, licenses, minhash, packing, quality, sharding
+from tillstar.llm import decontaminate, embeddings, language, licenses, minhash, packing, quality, sharding
 from tillstar.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,11 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+@query
+def op1_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query
 def op2_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, folder, "embeddings"))
