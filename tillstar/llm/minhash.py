@@ -7,7 +7,6 @@ shifted circularly by j places.
 
 from __future__ import annotations
 
-from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -99,48 +98,18 @@ def _sign(width: int, bands: int, rows: int):
     return sign
 
 
-def _compare(width: int):
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("both", pa.int64()), ("either", pa.int64())])
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: OrderedDict[bytes, np.ndarray] = OrderedDict()  # leaders come again and again
-
-        def full_set(text: bytes | None, key: bytes) -> np.ndarray | None:
-            if key not in known:
-                shingles = shingle_set(text, width)
-                if set_key(shingles) != key:
-                    return None  # another text under the same doc_id
-                known[key] = shingles
-                if len(known) > 64:
-                    known.popitem(last=False)
-            return known[key]
-
-        for batch in batches:
-            rows = []
-            for r in batch.to_pylist():
-                x, y = full_set(r["text_a"], r["key_a"]), full_set(r["text_b"], r["key_b"])
-                if x is None or y is None:
-                    continue
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                rows.append((r["a"], r["b"], both, len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in (zip(*rows) if rows else ([],) * 4)], schema=schema)
-
-    return compare
-
-
 def _sets(width: int):
-    schema = pa.schema([("a", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+    schema = pa.schema([("id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for r in batch.to_pylist():
-                shingles = shingle_set(r["text"], width)
-                if set_key(shingles) == r["key_a"]:
-                    rows.append((r["a"], shingles.view(np.int64)))
+            for doc, key, text in zip(*(batch.column(c).to_pylist() for c in ("id", "key", "text"))):
+                shingles = shingle_set(text, width)
+                if set_key(shingles) == key:  # else another text under the same doc_id
+                    rows.append((doc, shingles.view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([a for a, _ in rows], pa.int64()), pa.array([s for _, s in rows], pa.list_(pa.int64()))], schema=schema)
+                [pa.array([i for i, _ in rows], pa.int64()), pa.array([s for _, s in rows], pa.list_(pa.int64()))], schema=schema)
 
     return sets
 
@@ -198,16 +167,6 @@ def _join_groups(percent: int):
     return join_groups
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """Exact intersection and union sizes of pairs ``a``, ``b`` on full shingle sets."""
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    first = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    second = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    joined = pairs.join(first, "a").join(second, "b").select("a", "b", "key_a", "key_b", "text_a", "text_b")
-    found = with_small_batches(joined).mapInArrow(_compare(width), "a bigint, b bigint, both bigint, either bigint")
-    return stored(found, "verified")
-
-
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -242,11 +201,22 @@ def near_duplicates(
         members.groupBy("band").agg(F.min(F.struct("rep", "n", "key")).alias("leader"), F.count(F.lit(1)).alias("c"))
         .filter("c > 1").select("band", F.col("leader.rep").alias("b"), F.col("leader.n").alias("n_b"),
                                 F.col("leader.key").alias("key_b")), "leaders")
-    in_buckets = members.join(leaders, "band").withColumnsRenamed({"rep": "a", "n": "n_a", "key": "key_a"})
+    in_buckets = stored(
+        members.join(leaders, "band").withColumnsRenamed({"rep": "a", "n": "n_a", "key": "key_a"}), "in-buckets")
+    # Full shingle sets of the classes that share a bucket with another; texts are shuffled this once.
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("binary").alias("text"))
+    shared = in_buckets.select(F.col("a").alias("id"), F.col("key_a").alias("key")).distinct()
+    sets = stored(
+        with_small_batches(stored(shared, "shared").join(texts, "id"))
+        .mapInArrow(_sets(shingle_words), "id bigint, shingles array<bigint>"), "sets")
     possible = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
     pairs = stored(
-        in_buckets.filter("a <> b").filter(possible).select("a", "b", "key_a", "key_b").distinct(), "pairs")
-    verified = _verified(docs, pairs, shingle_words)
+        in_buckets.filter("a <> b").filter(possible).select("a", "b", "n_a", "n_b").distinct(), "pairs")
+    both = F.size(F.array_intersect("shingles_a", "shingles_b"))
+    verified = stored(
+        pairs.join(sets.withColumnsRenamed({"id": "a", "shingles": "shingles_a"}), "a")
+        .join(sets.withColumnsRenamed({"id": "b", "shingles": "shingles_b"}), "b")
+        .select("a", "b", both.cast("bigint").alias("both"), (F.col("n_a") + F.col("n_b") - both).alias("either")), "verified")
     linked = f"100 * both >= {percent} * either"
     edges = verified.filter(linked).select("a", "b")
     labels = components(edges)
@@ -257,7 +227,7 @@ def near_duplicates(
     placed = stored(
         in_buckets.join(verified, ["a", "b"], "left").join(of_a, "a", "left").join(of_b, "b", "left")
         .select(
-            "band", "a", "n_a", "key_a", F.coalesce("of_a", "a").alias("of_a"), F.coalesce("of_b", "b").alias("of_b"),
+            "band", "a", "n_a", F.coalesce("of_a", "a").alias("of_a"), F.coalesce("of_b", "b").alias("of_b"),
             F.expr("a = b or both is not null").alias("exact"),
             F.expr("case when a = b then 0e0 else 1e0 - coalesce(both / either, "
                    "least(n_a, n_b) / greatest(n_a, n_b)) end").alias("distance")), "placed")
@@ -266,16 +236,12 @@ def near_duplicates(
         reach = 1 - percent / 100 + 1e-9
         loose = stored(
             placed.join(apart, "band").filter(f"of_a <> of_b or distance >= nearest - {reach}")
-            .select("band", "a", "n_a", "key_a", "of_a"), "loose")
-        texts = docs.select(F.col("doc_id").cast("bigint").alias("a"), F.col("text").cast("binary").alias("text"))
-        sets = stored(
-            with_small_batches(loose.select("a", "key_a").distinct().join(texts, "a"))
-            .mapInArrow(_sets(shingle_words), "a bigint, shingles array<bigint>"), "sets")
+            .select("band", "a", "n_a", "of_a"), "loose")
         groups = stored(
             loose.groupBy("band").agg(
                 F.ceil(F.greatest(F.count(F.lit(1)) / GROUP_DOCS, F.sum("n_a") / GROUP_SHINGLES)).alias("blocks")), "groups")
         dealt = (
-            loose.select("band", "a", "of_a").join(groups, "band").join(sets.dropDuplicates(["a"]), "a")
+            loose.select("band", "a", "of_a").join(groups, "band").join(sets.withColumnRenamed("id", "a"), "a")
             .withColumn("block", F.pmod(F.xxhash64("a"), F.col("blocks")))
             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
             .select("band", "a", "of_a", "shingles", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
