@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import decontaminate, embeddings, language, licenses, minhash, packing, quality, sharding
+from tillstar.llm import decontaminate, embeddings, language, licenses, minhash, packing, quality, sharding, substring
 from tillstar.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,11 @@ def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+@query
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring.repeats(table(spark, folder, "documents"))
+
+
 @query
 def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
