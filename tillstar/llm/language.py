@@ -8,8 +8,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillstar.llm.common import fold, spans_of, text_rows
+from tillstar.llm.common import fold, spans_of, text_rows, with_small_batches
 
 NONE = "und"
 ORDERS = (1, 2, 3)
@@ -106,15 +107,15 @@ def train(docs: DataFrame, cells: int = CELLS) -> tuple[list[str], np.ndarray]:
     return langs, np.hstack([likelihood, prior.reshape(-1, 1)])
 
 
-def _score(langs: list[str], shared, cells: int, columns: list[pa.Field]):
-    schema = pa.schema([*columns, ("lang_pred", pa.string()), ("score", pa.float64())])
+def _score(langs: list[str], shared, cells: int, text_field: bool):
+    """Adds a prediction to the carried columns; the text is a column, or a field of the column ``row``."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = shared.value
         table, prior = weights[:, :-1], weights[:, -1]
         grams = Grams(cells)
         for batch in batches:
-            texts = _texts(batch)
+            texts = batch.column("row").field("text").to_pylist() if text_field else _texts(batch)
             logs, has = np.zeros((len(texts), max(1, len(langs)))), np.zeros(len(texts), bool)
             for begin, end in spans_of([len(t or "") for t in texts], _CHARACTERS):
                 has[begin:end], orders = grams.of(texts[begin:end])
@@ -128,8 +129,10 @@ def _score(langs: list[str], shared, cells: int, columns: list[pa.Field]):
                 names = [langs[b] if h else NONE for b, h in zip(best, has)]
             else:
                 names, share = [NONE] * len(texts), np.zeros(len(texts))
-            kept = [batch.column(c.name) for c in columns]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(names, pa.string()), pa.array(share, pa.float64())], schema=schema)
+            kept = [n for n in batch.schema.names if n != "text"]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(n) for n in kept), pa.array(names, pa.string()), pa.array(share, pa.float64())],
+                names=[*kept, "lang_pred", "score"])
 
     return score
 
@@ -146,6 +149,19 @@ def identify(docs: DataFrame, *, folds: int = 5, cells: int = CELLS) -> DataFram
     held = (fold("doc_id", folds) == 0).alias("held_out")
     langs, weights = train(docs.filter(fold("doc_id", folds) != 0), cells)
     shared = docs.sparkSession.sparkContext.broadcast(weights)
-    columns = [pa.field("doc_id", pa.int64()), pa.field("held_out", pa.bool_())]
     return text_rows(docs, ids, held).mapInArrow(
-        _score(langs, shared, cells, columns), "doc_id bigint, held_out boolean, lang_pred string, score double")
+        _score(langs, shared, cells, False), "doc_id bigint, held_out boolean, lang_pred string, score double")
+
+
+def with_language(docs: DataFrame, *, folds: int = 5, cells: int = CELLS, least_score: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose language is told with a posterior of ``least_score`` at least, all columns as they are.
+
+    Texts that are null or without letters are told no language and go; learning is as in ``identify``.
+    """
+    langs, weights = train(docs.filter(fold("doc_id", folds) != 0), cells)
+    shared = docs.sparkSession.sparkContext.broadcast(weights)
+    rows = with_small_batches(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")))
+    schema = T.StructType([T.StructField("row", docs.schema), T.StructField("lang_pred", T.StringType()),
+                           T.StructField("score", T.DoubleType())])
+    told = rows.mapInArrow(_score(langs, shared, cells, True), schema)
+    return told.filter((F.col("lang_pred") != NONE) & (F.col("score") >= least_score)).select("row.*")

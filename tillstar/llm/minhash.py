@@ -255,3 +255,13 @@ def near_duplicates(
     found = signed.select("doc_id", "n_shingles", "set_key").join(grouped, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")
     return found.select("doc_id", "n_shingles", component).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with one document of each group of near duplicates, the one with the smallest doc_id.
+
+    Of repeated rows of a doc_id one stays. Rows without doc_id all stay. Columns stay as they are.
+    """
+    kept = near_duplicates(docs, **options).filter("kept and doc_id is not null").select(F.col("doc_id").alias("_kept")).distinct()
+    own = docs.filter("doc_id is not null").join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
+    return own.union(docs.filter("doc_id is null"))
