@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,18 @@ def with_small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of so many rows for what is written inside."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def text_rows(docs: DataFrame, *columns: str | Column) -> DataFrame:
     """The given columns and the text as UTF-8 bytes, ready for ``mapInArrow``."""
     return with_small_batches(docs.select(*columns, F.col("text").cast("binary").alias("text")))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import decontaminate, embeddings, language, licenses, minhash, packing, quality, sharding, substring
+from tillstar.llm import decontaminate, embeddings, katz, language, licenses, minhash, packing, quality, sharding, substring
 from tillstar.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,11 @@ def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op6_katz_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return katz.score_texts(table(spark, folder, "documents"))
+
+
 @query
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"))
