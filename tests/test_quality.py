@@ -54,11 +54,12 @@ def test_stored_exceptions_are_cut_per_rule_and_trimmed_before_the_shuffle(spark
     many = spark.range(3000).select(
         (F.col("id") % 2).alias("rule_id"), F.lit("t").alias("table_name"), F.col("id").cast("string").alias("record_identifier"),
         F.lit("c").alias("column_name"), F.lit(None).cast("string").alias("failed_value"), F.lit("y" * 2000).alias("expected_value"))
-    kept = engine.sample_exceptions(many)
+    kept = engine.sample_exceptions(many, 1000, 1000)
     assert rows(kept.groupBy("rule_id").count()) == [(0, 1000), (1, 1000)]
     one = kept.first()
     assert one["failed_value"] == "None" and len(one["expected_value"]) == 1000
-    assert kept._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2
+    assert kept._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 4
+    assert engine.sample_exceptions(many).count() == 3000
 
 
 def test_scorecard_counts_the_latest_run_of_a_rule(spark):

@@ -138,7 +138,7 @@ def sql_percent(num: str, den: str, digits: int | None = 2) -> str:
 
 
 def sql_money(x: str) -> str:
-    return f"cast({x} as decimal(18,2))"
+    return f"cast({x} as decimal(28,2))"
 
 
 # Views of the oracle by name; each may refer to the views before it.
@@ -287,13 +287,13 @@ define("fact_campaign_responses", """
          and r.response_date >= c.valid_from and r.response_date < c.valid_to
     join dim_campaign k on r.campaign_id = k.campaign_id""")
 define("version_sales", """
-    select customer_key, count(distinct transaction_id) as orders, cast(sum(net_amount) as decimal(18,2)) as spent
+    select customer_key, count(distinct transaction_id) as orders, cast(sum(net_amount) as decimal(28,2)) as spent
     from fact_transactions group by customer_key""")
 define("dim_customer", f"""
     select c.customer_key, {', '.join('c.' + c for c in _CUSTOMER.split(', '))},
-           case when c.is_current and m.orders is not null then m.spent else cast(0 as decimal(18,2)) end as lifetime_value,
+           case when c.is_current and m.orders is not null then m.spent else cast(0 as decimal(28,2)) end as lifetime_value,
            case when c.is_current and m.orders is not null then m.orders else 0 end as total_orders,
-           case when c.is_current and m.orders is not null then m.spent else cast(0 as decimal(18,2)) end as total_spent,
+           case when c.is_current and m.orders is not null then m.spent else cast(0 as decimal(28,2)) end as total_spent,
            c.valid_from, c.valid_to, c.is_current
     from customers_merged c left join version_sales m on c.customer_key = m.customer_key""")
 define("dated_sales", """

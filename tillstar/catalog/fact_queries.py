@@ -131,7 +131,7 @@ define("agg_product_daily", f"""
 
 @query("F08_agg_customer_monthly", "select * from agg_customer_monthly")
 def _(c: Context) -> DataFrame:
-    return facts.customer_monthly(c["fact_transactions"], c["dim_date"])
+    return facts.customer_monthly(c["fact_transactions"])
 
 
 @query("F09_agg_product_daily", "select * from agg_product_daily")

@@ -44,7 +44,7 @@ def _rule_sql(rule_id: int, as_of: dt.date, customer: str, product: str, fact: s
                from {product} group by product_id having count(*) > 1""",
         9: f"""select cast(c.customer_key as varchar) as record_identifier, 'lifetime_value' as column_name,
                       cast(c.lifetime_value as varchar) as failed_value,
-                      cast(cast(coalesce(s.net, 0) as decimal(18,2)) as varchar) as expected_value
+                      cast(cast(coalesce(s.net, 0) as decimal(28,2)) as varchar) as expected_value
                from {customer} c left join (select customer_key, sum(net_amount) as net from {fact} group by 1) s
                  on c.customer_key = s.customer_key
                where c.is_current and abs(c.lifetime_value - coalesce(s.net, 0)) > 0.01""",
@@ -70,7 +70,7 @@ def _rule_sql(rule_id: int, as_of: dt.date, customer: str, product: str, fact: s
 
 # The rules are also shown on a warehouse with planted defects, so that each finds something.
 define("customer_damaged", """
-    select * replace (case when customer_key % 97 = 0 then cast(lifetime_value + 1 as decimal(18,2))
+    select * replace (case when customer_key % 97 = 0 then cast(lifetime_value + 1 as decimal(28,2))
                            else lifetime_value end as lifetime_value)
     from dim_customer
     union all
@@ -91,7 +91,7 @@ def defective(c: Context) -> dict[str, DataFrame]:
     customer, product, fact = tables["dim_customer"], tables["dim_product"], tables["fact_transactions"]
     worn = customer.withColumn(
         "lifetime_value",
-        F.when(F.col("customer_key") % 97 == 0, (F.col("lifetime_value") + 1).cast("decimal(18,2)"))
+        F.when(F.col("customer_key") % 97 == 0, (F.col("lifetime_value") + 1).cast("decimal(28,2)"))
         .otherwise(F.col("lifetime_value")),
     )
     bare = product.withColumns(
@@ -136,7 +136,7 @@ def dq(c: Context) -> dict[str, DataFrame]:
 
     def build() -> None:
         for run_at in RUNS:
-            engine.quality_run(store, c.tables, run_at)
+            engine.quality_run(store, c.tables, run_at, exception_limit=1000, text_limit=1000)
 
     c.once("quality", build)
     names = ("dq_rule_categories", "dq_rules", "dq_test_results", "dq_exceptions", "dq_scorecards")

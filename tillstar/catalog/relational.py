@@ -251,7 +251,7 @@ def _(c: Context) -> DataFrame:
     )
     return c["dim_product"].join(sold, "product_key", "left").select(
         "product_key", "product_id", F.coalesce("units", F.lit(0)).alias("units_sold"),
-        F.coalesce("spent", F.lit(0).cast("decimal(18,2)")).alias("revenue"),
+        F.coalesce("spent", F.lit(0).cast("decimal(28,2)")).alias("revenue"),
     )
 
 

@@ -29,8 +29,8 @@ def percent(num: Column | str, den: Column | str, digits: int | None = 2) -> Col
 
 
 def decimal_sum(value: Column | str) -> Column:
-    """Exact money total, independent of summation order."""
-    return F.sum(value).cast("decimal(18,2)")
+    """Exact money total, independent of summation order, wide enough for 10^14 lines of any amount."""
+    return F.sum(value).cast("decimal(28,2)")
 
 
 def mean(value: Column | str) -> Column:

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.operators.keys import stored_once
+from tillstar.operators.lookup import own_exchange
 
-# A basket with more distinct products than this is paired in several independent slices.
+# Distinct products of a basket in one slice; slices are paired independently.
 SLICE = 1000
 
 
@@ -35,13 +36,11 @@ def name_pairs(fact: DataFrame, product: DataFrame, min_transactions: int, slice
         .filter(F.col("support") >= min_transactions)
         .select("product_name")
     )
-    kept = lines.join(frequent, "product_name")
-    large = (
-        kept.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("products"))
-        .filter(F.col("products") > slice_size)
-        .select("transaction_id", F.ceil(F.col("products") / F.lit(float(slice_size))).cast("int").alias("slices"))
-    )
-    sliced = kept.join(large, "transaction_id", "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
+    # own exchanges on the small sides: a hot product name or basket can be split
+    kept = stored_once(lines.join(frequent.withColumn("product_name", own_exchange("product_name")), "product_name"), "kept")
+    slices = kept.groupBy("transaction_id").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(float(slice_size))).cast("int").alias("slices"))
+    sliced = stored_once(kept.join(slices.withColumn("transaction_id", own_exchange("transaction_id")), "transaction_id"), "sliced")
     left = sliced.select(
         "transaction_id",
         F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),

@@ -111,15 +111,19 @@ def scd2_merge(
     Staged keys are compared with the current versions once and stored with their label.
     History is copied; current versions are expired or updated in place by a join on the
     business key; new versions are added with keys above the highest existing one. All
-    comparisons are null-safe. Also returns the number of keys per change label.
+    comparisons are null-safe, and a version whose ``is_current`` is missing is history. No version
+    may start after ``as_of``. Also returns the number of keys per change label.
     """
-    classified = stored_once(classify(dim.filter("is_current"), staged, business_key, tracked, in_place), "changes")
+    current = F.coalesce("is_current", F.lit(False))
+    if not dim.filter(current & (F.col("valid_from") > F.lit(as_of))).isEmpty():
+        raise ValueError(f"a current version starts after {as_of}")
+    classified = stored_once(classify(dim.filter(current), staged, business_key, tracked, in_place), "changes")
     # unchanged keys, usually almost all, need no join: their versions stay as they are
     verdict = classified.filter(F.col("change").isin("scd2_changed", "type1_changed")).select(
         F.col(business_key).alias("_id"), "change", *[F.col(c).alias(f"_new_{c}") for c in in_place]
     )
     carried = (
-        dim.filter("is_current")
+        dim.filter(current)
         .join(verdict, F.col(business_key) == F.col("_id"), "left")
         .transform(expire, as_of)
         .transform(overwrite_in_place, in_place)
@@ -130,6 +134,6 @@ def scd2_merge(
     keyed = with_keys(opened, surrogate, [business_key], start)
     defaults = {c: F.lit(0) for c in ("lifetime_value", "total_orders", "total_spent") if c in dim.columns}
     added = keyed.withColumns(defaults).select(*[F.col(f.name).cast(f.dataType) for f in dim.schema])
-    merged = dim.filter("not is_current").unionByName(carried).unionByName(added)
+    merged = dim.filter(~current).unionByName(carried).unionByName(added)
     changes = classified.groupBy("change").agg(F.count(F.lit(1)).alias("customers"))
     return Scd2Result(merged, changes)

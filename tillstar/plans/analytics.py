@@ -30,8 +30,8 @@ def months_before(day: dt.date, months: int) -> dt.date:
 
 
 def with_dates(fact: DataFrame, dim_date: DataFrame, *columns: str) -> DataFrame:
-    """Fact rows with attributes of their day. The date dimension holds one row per day of a
-    fixed range, which bounds the broadcast."""
+    """Fact rows with attributes of their day. Loads extend the date dimension to all years with facts; it holds
+    one row per day, so the range of dates bounds the broadcast."""
     days = dim_date.select(F.col("date_key").alias("transaction_date_key"), *columns)
     return fact.join(F.broadcast(days), "transaction_date_key")
 
@@ -151,7 +151,7 @@ def year_over_year(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
         (F.col("year_number") + 1).alias("year_number"), "month_number",
         F.col("revenue").alias("previous_year_revenue"),
     )
-    change = (F.col("revenue") - F.col("previous_year_revenue")).cast("decimal(18,2)")
+    change = (F.col("revenue") - F.col("previous_year_revenue")).cast("decimal(28,2)")
     return (
         monthly.join(before, ["year_number", "month_number"])
         .filter(F.col("previous_year_revenue").isNotNull())
@@ -209,11 +209,12 @@ def category_performance(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
             F.sum("units").alias("total_units_sold"),
             decimal_sum("net").alias("total_revenue"),
             rounded(ratio(F.sum("net"), F.sum("lines"))).alias("avg_transaction_value"),
-            F.sum(profit).cast("decimal(18,2)").alias("total_profit"),
+            F.sum(profit).cast("decimal(28,2)").alias("total_profit"),
         )
     )
     buyers = (
-        fact.select("product_key", "customer_key")
+        # distinct pairs of product and customer come first, so the fact itself is never joined
+        fact.select("product_key", "customer_key").distinct()
         .join(product.select("product_key", F.col("product_category").alias("_category")), "product_key")
         .groupBy("_category")
         .agg(F.count_distinct("customer_key").alias("unique_customers"))
@@ -270,7 +271,7 @@ def campaign_results(dim_campaign: DataFrame, responses: DataFrame) -> DataFrame
 
 def campaign_roi(dim_campaign: DataFrame, responses: DataFrame) -> DataFrame:
     done = campaign_results(dim_campaign.filter("campaign_status = 'Completed'"), responses)
-    gain = (F.col("value") - F.col("budget")).cast("decimal(18,2)")
+    gain = (F.col("value") - F.col("budget")).cast("decimal(28,2)")
     return done.select(
         "campaign_id", "campaign_name", "campaign_type", "channel",
         F.date_format("start_date", "yyyy-MM-dd").alias("start_date"),

@@ -119,11 +119,11 @@ def with_lifetime_metrics(dim: DataFrame, fact: DataFrame) -> DataFrame:
     without sales keep what they had.
     """
     sold = fact.groupBy("customer_key").agg(
-        F.count_distinct("transaction_id").alias("_orders"), F.sum("net_amount").cast("decimal(18,2)").alias("_spent")
+        F.count_distinct("transaction_id").alias("_orders"), F.sum("net_amount").cast("decimal(28,2)").alias("_spent")
     )
     joined = dim.join(sold, "customer_key", "left")
     hit = F.col("is_current") & F.col("_orders").isNotNull()
-    spent = F.coalesce("_spent", F.lit(0).cast("decimal(18,2)"))
+    spent = F.coalesce("_spent", F.lit(0).cast("decimal(28,2)"))
     return joined.withColumns(
         {
             "lifetime_value": F.when(hit, spent).otherwise(F.col("lifetime_value")),

@@ -154,13 +154,12 @@ def build_responses(
     return keyed.select(*[F.col(f.name).cast(f.dataType) for f in schemas.WAREHOUSE["fact_campaign_responses"]])
 
 
-def customer_monthly(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Sales per customer version and month; the average is per line."""
-    dated = fact.join(
-        F.broadcast(dim_date.select("date_key", "date_actual")), F.col("transaction_date_key") == F.col("date_key")
-    )
+def customer_monthly(fact: DataFrame) -> DataFrame:
+    """Sales per customer version and month; the average is per line. The month follows from the
+    date key, so no sale depends on the calendar."""
+    month = F.floor(F.col("transaction_date_key") / 100).cast("int")
     return (
-        dated.withColumn("month_start_date", F.trunc("date_actual", "month"))
+        fact.withColumn("month_start_date", F.make_date(F.floor(month / 100).cast("int"), month % 100, F.lit(1)))
         .groupBy("customer_key", "month_start_date")
         .agg(
             F.count_distinct("transaction_id").alias("total_transactions"),
@@ -185,11 +184,11 @@ def product_daily(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
         decimal_sum("net_amount").alias("total_revenue"),
         F.count_distinct("customer_key").alias("unique_customers"),
     )
-    cost = (F.coalesce("units_sold", F.lit(0)) * F.col("unit_cost")).cast("decimal(18,2)")
+    cost = (F.coalesce("units_sold", F.lit(0)) * F.col("unit_cost")).cast("decimal(28,2)")
     return (
         daily.join(dim_product.select("product_key", "unit_cost"), "product_key")
         .withColumn("total_cost", cost)
-        .withColumn("total_profit", (F.col("total_revenue") - F.col("total_cost")).cast("decimal(18,2)"))
+        .withColumn("total_profit", (F.col("total_revenue") - F.col("total_cost")).cast("decimal(28,2)"))
         .select(*schemas.WAREHOUSE["agg_product_daily"].names)
     )
 

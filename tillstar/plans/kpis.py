@@ -137,7 +137,7 @@ def month_over_month(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     spine = bounds.filter(F.col("first").isNotNull()).select(
         F.explode(F.sequence("first", "last", F.expr("interval 1 month"))).alias("period_start")
     )
-    zero = F.lit(0).cast("decimal(18,2)")
+    zero = F.lit(0).cast("decimal(28,2)")
     complete = spine.join(monthly, "period_start", "left").select(
         F.col("period_start").alias("month_start"), F.coalesce("total_revenue", zero).alias("revenue")
     )
@@ -211,7 +211,7 @@ def campaign_roi(dim_campaign: DataFrame, responses: DataFrame) -> DataFrame:
     done = analytics.campaign_results(
         dim_campaign.filter("campaign_status = 'Completed'"), responses.filter("is_converted")
     )
-    value = F.coalesce("value", F.lit(0).cast("decimal(18,2)"))
+    value = F.coalesce("value", F.lit(0).cast("decimal(28,2)"))
     return done.select(
         "campaign_id", "channel", "budget", value.alias("revenue"), percent(value - F.col("budget"), "budget", None).alias("roi")
     )

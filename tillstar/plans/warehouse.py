@@ -7,12 +7,13 @@ import time
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tillstar import schemas
 from tillstar.plans import dimensions, facts
 from tillstar.sources.tables import TableStore
 
-# The range of the date dimension bounds its size: it holds one row per day.
+# The date dimension holds one row per day of this range at least, and of all years with staged facts.
 FIRST_DAY = dt.date(1995, 1, 1)
 LAST_DAY = dt.date(2030, 12, 31)
 
@@ -43,6 +44,17 @@ def load_dates(store: TableStore, start: dt.date = FIRST_DAY, end: dt.date = LAS
     return store.replace(days.coalesce(1), "dim_date")
 
 
+def cover_dates(store: TableStore, staged: DataFrame, column: str) -> None:
+    """Extend the date dimension to whole years around all days of ``column``, so no fact is without its day."""
+    bounds = staged.agg(F.to_date(F.min(column)).alias("first"), F.to_date(F.max(column)).alias("last")).first()
+    if bounds["first"] is None or not store.exists("dim_date"):
+        return
+    known = store.read("dim_date").agg(F.min("date_actual").alias("first"), F.max("date_actual").alias("last")).first()
+    if known["first"] is None or bounds["first"] < known["first"] or bounds["last"] > known["last"]:
+        days = [d for d in (*bounds, *known) if d is not None]
+        load_dates(store, dt.date(min(days).year, 1, 1), dt.date(max(days).year, 12, 31))
+
+
 def load_products(store: TableStore, staged: DataFrame) -> int:
     if store.exists("dim_product"):
         return store.replace(dimensions.upsert_product(store.read("dim_product"), staged), "dim_product")
@@ -82,6 +94,7 @@ def load_dimensions(store: TableStore, staged: Mapping[str, DataFrame], as_of: d
 
 def load_transactions(store: TableStore, transactions: DataFrame, items: DataFrame) -> int:
     """Append transactions the fact does not hold; returns the rows added."""
+    cover_dates(store, transactions, "transaction_date")
     customer, product = store.read("dim_customer"), store.read("dim_product")
     if store.exists("fact_transactions"):
         rows = facts.new_transactions(store.read("fact_transactions"), transactions, items, customer, product)
@@ -91,6 +104,7 @@ def load_transactions(store: TableStore, transactions: DataFrame, items: DataFra
 
 
 def load_responses(store: TableStore, responses: DataFrame) -> int:
+    cover_dates(store, responses, "response_date")
     known = store.read("fact_campaign_responses") if store.exists("fact_campaign_responses") else None
     rows = facts.build_responses(responses, store.read("dim_customer"), store.read("dim_campaign"), known)
     return store.append(rows, "fact_campaign_responses")
@@ -114,7 +128,7 @@ def build_aggregates(store: TableStore) -> dict[str, int]:
     fact = store.read("fact_transactions")
     return {
         "agg_customer_monthly": store.replace(
-            facts.customer_monthly(fact, store.read("dim_date")), "agg_customer_monthly"
+            facts.customer_monthly(fact), "agg_customer_monthly"
         ),
         "agg_product_daily": store.replace(
             facts.product_daily(fact, store.read("dim_product")), "agg_product_daily"

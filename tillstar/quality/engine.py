@@ -8,6 +8,7 @@ import time
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException, ArithmeticException, DateTimeException, NumberFormatException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,10 +20,13 @@ from tillstar.sources.tables import TableStore
 
 log = logging.getLogger(__name__)
 
-EXCEPTION_LIMIT = 1000  # stored examples per rule; counts are always complete
-TEXT_LIMIT = 1000
+# Tasks in which the violations of one rule are trimmed before they meet.
+SLICES = 64
 SCORES = tuple(f"{name.lower()}_score" for name, _ in CATEGORIES)
 
+# What a rule can do wrong by itself; anything else stops the run.
+_RULE_FAULTS = (AnalysisException, ArithmeticException, DateTimeException, NumberFormatException)
+
 _RULE_SCHEMA = (
     "rule_name string, rule_description string, category_name string, target_table string, target_column string, "
     "rule_type string, rule_parameters map<string,string>, severity string, failure_threshold double, is_active boolean, "
@@ -107,17 +111,19 @@ def count_violations(tables: Tables, rules: Sequence[tuple[int, Rule]], as_of: d
 
 
 def _measured(spark: SparkSession, tables: Tables, rules: Sequence[tuple[int, Rule]], as_of: dt.date) -> list[tuple]:
-    """Counts as driver rows, one per rule. If the joint job fails, the rules are run one by
-    one, so that a broken rule ends as an error of its own."""
+    """Counts as driver rows, one per rule, with the run time of the job they were counted in. If
+    the joint job fails by a rule's fault, the rules are run one by one, so that a broken rule ends as an error of its own."""
     began = time.monotonic()
     try:
         rows = count_violations(tables, rules, as_of).collect()
         spent = int((time.monotonic() - began) * 1000)
         return [(r["rule_id"], r["total"], r["failed"], None, spent) for r in rows]
     except Exception as failure:
+        if len(rules) > 1 and not isinstance(failure, _RULE_FAULTS):
+            raise  # not the fault of a rule
         if len(rules) == 1:
             log.error("rule %s failed: %s", rules[0][1].name, failure)
-            return [(rules[0][0], 0, 0, str(failure)[:TEXT_LIMIT], 0)]
+            return [(rules[0][0], 0, 0, str(failure), 0)]
         return [row for one in rules for row in _measured(spark, tables, [one], as_of)]
 
 
@@ -196,23 +202,34 @@ def violation_records(tables: Tables, rules: Sequence[tuple[int, Rule]], as_of:
     return _union(parts)
 
 
-def sample_exceptions(violations: DataFrame, limit: int = EXCEPTION_LIMIT) -> DataFrame:
-    """At most ``limit`` violations per rule, in order of their identifier, ready to store.
+def sample_exceptions(violations: DataFrame, limit: int | None = None, text_limit: int | None = None) -> DataFrame:
+    """Violations ready to store: all, or the first ``limit`` of each rule in order of their identifier.
 
-    The optimizer trims each map task to ``limit`` rows per rule before the shuffle.
     Missing values are stored as the text ``None``; the hash covers the full value.
     """
 
     def text(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit("None"))
 
-    order = Window.partitionBy("rule_id").orderBy("record_identifier", "failed_value")
-    kept = violations.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= limit)
+    kept = violations
+    if limit is not None:
+        order = ("record_identifier", "failed_value")
+        # trimmed in many tasks before the tasks of a rule meet in one
+        slices = Window.partitionBy("rule_id", "_slice").orderBy(*order)
+        kept = (
+            kept.withColumn("_slice", F.pmod(F.xxhash64("record_identifier", "failed_value"), F.lit(SLICES)))
+            .withColumn("_rank", F.row_number().over(slices)).filter(F.col("_rank") <= limit)
+            .withColumn("_rank", F.row_number().over(Window.partitionBy("rule_id").orderBy(*order)))
+            .filter(F.col("_rank") <= limit)
+        )
+
+    def short(name: str) -> Column:
+        return text(name) if text_limit is None else clipped(text(name), text_limit)
+
     digest = F.md5(F.concat_ws("_", F.col("rule_id").cast("string"), text("record_identifier"), text("column_name"), text("failed_value")))
     return kept.select(
         "rule_id", "table_name", "record_identifier", "column_name",
-        clipped(text("failed_value"), TEXT_LIMIT).alias("failed_value"),
-        clipped(text("expected_value"), TEXT_LIMIT).alias("expected_value"), digest.alias("exception_hash"),
+        short("failed_value").alias("failed_value"), short("expected_value").alias("expected_value"), digest.alias("exception_hash"),
     )
 
 
@@ -255,10 +272,12 @@ def scorecard(
 
 def quality_run(
     store: TableStore, tables: Tables, run_at: dt.datetime, as_of: dt.date | None = None,
-    rules: Sequence[Rule] = RULES, period: str = "DAILY",
+    rules: Sequence[Rule] = RULES, period: str = "DAILY", exception_limit: int | None = None, text_limit: int | None = None,
 ) -> DataFrame:
     """Register rules, run them, and store results, exceptions and the day's scorecard.
-    Returns the summary by status."""
+
+    All violations are stored whole, unless ``exception_limit`` (rows of a rule) or ``text_limit``
+    (letters of a value) say otherwise. Returns the summary by status."""
     spark, as_of = store.spark, as_of or run_at.date()
     store.replace(categories(spark), "dq_rule_categories")
     cats = store.read("dq_rule_categories")
@@ -279,9 +298,10 @@ def quality_run(
     stored = store.read("dq_test_results").filter(F.col("result_id") > last)
 
     ids = {row["rule_name"]: row["rule_id"] for row in registry.select("rule_name", "rule_id").collect()}
-    broken = {row["rule_id"] for row in stored.filter("test_status = 'ERROR'").select("rule_id").collect()}
-    due = [(ids[r.name], r) for r in rules if ids[r.name] not in broken]
-    sample = sample_exceptions(violation_records(tables, due, as_of)).join(
+    # rules that ran: neither switched off nor ended in an error
+    ran = {row["rule_id"] for row in stored.filter("test_status <> 'ERROR'").select("rule_id").collect()}
+    due = [(ids[r.name], r) for r in rules if ids[r.name] in ran]
+    sample = sample_exceptions(violation_records(tables, due, as_of), exception_limit, text_limit).join(
         F.broadcast(stored.select("rule_id", "result_id")), "rule_id"
     )
     first = store.read("dq_exceptions").agg(F.max("exception_id")).first()[0] if store.exists("dq_exceptions") else 0

@@ -135,9 +135,9 @@ def _count_missing(column: str, dim: str) -> Callable[[Tables, dt.date], DataFra
 def _lifetime_mismatch(tables: Tables, as_of: dt.date) -> DataFrame:
     # sales are summed per customer before the join, which then meets each customer once
     sold = tables["fact_transactions"].groupBy("customer_key").agg(
-        F.sum("net_amount").cast("decimal(18,2)").alias("_sold")
+        F.sum("net_amount").cast("decimal(28,2)").alias("_sold")
     )
-    expected = F.coalesce(F.col("_sold"), F.lit(0).cast("decimal(18,2)"))
+    expected = F.coalesce(F.col("_sold"), F.lit(0).cast("decimal(28,2)"))
     customers = tables["dim_customer"].filter("is_current").select("customer_key", "lifetime_value")
     off = customers.join(sold, "customer_key", "left").filter(F.abs(F.col("lifetime_value") - expected) > F.lit(0.01).cast("decimal(3,2)"))
     return _records(off, "customer_key", "lifetime_value", "lifetime_value", expected)

@@ -71,7 +71,7 @@ AUDIT_LOG = _struct(
     "error_message STRING, loaded_by STRING"
 )
 
-# Money totals are kept as DECIMAL(18,2): a hot customer over a full history does not fit (12,2).
+# Money totals are kept as DECIMAL(28,2): a hot customer over a full history does not fit (12,2).
 WAREHOUSE = {
     name: _struct(ddl)
     for name, ddl in {
@@ -80,7 +80,7 @@ WAREHOUSE = {
             "email STRING, phone_number STRING, date_of_birth DATE, age INT, age_group STRING, gender STRING, "
             "address STRING, city STRING, state STRING, postal_code STRING, country STRING, "
             "registration_date DATE, customer_segment STRING, account_status STRING, "
-            "lifetime_value DECIMAL(18,2), total_orders BIGINT, total_spent DECIMAL(18,2), "
+            "lifetime_value DECIMAL(28,2), total_orders BIGINT, total_spent DECIMAL(28,2), "
             "valid_from DATE, valid_to DATE, is_current BOOLEAN, source_system STRING"
         ),
         "dim_product": (
@@ -115,12 +115,12 @@ WAREHOUSE = {
         ),
         "agg_customer_monthly": (
             "customer_key BIGINT, year_month INT, total_transactions BIGINT, total_quantity BIGINT, "
-            "total_amount DECIMAL(18,2), total_discount DECIMAL(18,2), avg_transaction_value DOUBLE, "
+            "total_amount DECIMAL(28,2), total_discount DECIMAL(28,2), avg_transaction_value DOUBLE, "
             "month_start_date DATE, month_end_date DATE"
         ),
         "agg_product_daily": (
-            "product_key BIGINT, date_key INT, units_sold BIGINT, total_revenue DECIMAL(18,2), "
-            "total_cost DECIMAL(18,2), total_profit DECIMAL(18,2), unique_customers BIGINT"
+            "product_key BIGINT, date_key INT, units_sold BIGINT, total_revenue DECIMAL(28,2), "
+            "total_cost DECIMAL(28,2), total_profit DECIMAL(28,2), unique_customers BIGINT"
         ),
     }.items()
 }

@@ -20,31 +20,45 @@ CORRUPT = "_corrupt_record"
 
 
 def read_source(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """Scan one CSV source with its declared schema.
+    """Scan one CSV source; columns are found by the names of the header, whatever their order.
 
-    Rows that do not fit the schema keep their text in ``_corrupt_record``.
+    Values may be quoted, with doubled quotes, commas and line breaks in them; empty values are missing. Rows with too few
+    or too many values, or with a value that is not of its declared type, keep their text in
+    ``_corrupt_record``. Columns that are not declared are left out, a declared one that is missing is an error.
+    A file is read by one task, as line breaks may stand in quotes: large sources come as a folder of part files,
+    which all have the same header.
     """
-    schema = T.StructType([*schemas.SOURCE[name].fields, T.StructField(CORRUPT, T.StringType())])
-    return (
-        spark.read.schema(schema)
-        .options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
-        .csv(path)
-    )
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
+    header = spark.read.options(**options).csv(path).columns
+    missing = [f.name for f in schemas.SOURCE[name] if f.name not in header]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in {path}")
+    texts = T.StructType([T.StructField(c, T.StringType()) for c in (*header, CORRUPT)])
+    raw = spark.read.schema(texts).options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, **options).csv(path)
+    typed, wrong = [], F.col(CORRUPT).isNotNull()
+    for field in schemas.SOURCE[name]:
+        text = F.nullif(F.col(f"`{field.name}`"), F.lit(""))
+        value = text.try_cast(field.dataType)
+        typed.append(value.alias(field.name))
+        wrong = wrong | (text.isNotNull() & value.isNull())
+    whole = F.coalesce(CORRUPT, F.to_csv(F.struct(*[F.col(f"`{c}`") for c in header])))
+    return raw.select(*typed, F.when(wrong, whole).alias(CORRUPT))
 
 
 def latest_file(spark: SparkSession, folder: str, glob: str) -> str | None:
     """Most recently modified source matching ``glob``; a source may be a file or a folder
     of part files. Only names and times are read, never contents."""
     pattern = f"{folder.rstrip('/')}/{glob}"
-    if not matching_paths(spark, pattern):
+    found = matching_paths(spark, pattern)
+    if not found:
         log.warning("no files match %s in %s", glob, folder)
         return None
-    listed = spark.read.format("binaryFile").load(pattern)
-    suffix = glob.rsplit("*", 1)[-1].replace(".", r"\.")
-    base = folder.rstrip("/").rsplit("/", 1)[-1]
-    source = F.regexp_extract("path", rf"^(.*/{base}/[^/]*{suffix})", 1)
-    newest = listed.agg(F.max_by(source, F.struct("modificationTime", "path")).alias("source")).first()
-    return newest["source"] if newest else None
+    # one listing for each match, so a path need not be taken apart
+    times = [
+        (newest, source) for source in found
+        if (newest := spark.read.format("binaryFile").load(source).agg(F.max("modificationTime")).first()[0])
+    ]
+    return max(times)[1] if times else None
 
 
 def load_id_of(when: dt.datetime) -> int:

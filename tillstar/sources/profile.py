@@ -16,8 +16,8 @@ def profile(df: DataFrame, table: str, profile_date: dt.date, approximate: bool
 
     Counts, bounds and means come from one aggregate over the table. Values are counted on
     an unpivoted (column, value) stream that is combined before its shuffle; it yields the
-    exact distinct count and the mode (ties go to the smallest value). With
-    ``approximate=True`` the distinct count is a sketch in the first aggregate instead.
+    exact distinct count and the mode (ties go to the smallest value). ``approximate=True`` only
+    replaces the distinct count by a sketch; the mode still needs the stream.
     """
     numeric = {f.name for f in df.schema if isinstance(f.dataType, T.NumericType)}
     stats, records = [F.count(F.lit(1)).alias("_rows")], []
@@ -31,7 +31,9 @@ def profile(df: DataFrame, table: str, profile_date: dt.date, approximate: bool
             F.max(bound).cast("string").alias(f"_hi{i}"),
         ]
         if field.name in numeric:
-            stats.append(F.sum(c.cast("decimal(28,4)")).alias(f"_sum{i}"))
+            # exact for whole numbers and decimals; floating values keep all their digits
+            exact = c.cast("decimal(38,4)") if not isinstance(field.dataType, (T.FloatType, T.DoubleType)) else c.cast("double")
+            stats.append(F.sum(exact).alias(f"_sum{i}"))
         if approximate:
             stats.append(F.approx_count_distinct(c).alias(f"_d{i}"))
         records.append(
