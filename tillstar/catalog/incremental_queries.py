@@ -39,19 +39,26 @@ def _star(c: Context, name: str) -> TableStore:
 @query("I02_incremental_load", _summary_sql("fact_transactions").replace(
     "select ", "select (select count(*) from fact_transactions) as loaded, cast(0 as bigint) as loaded_again, ", 1))
 def _(c: Context) -> DataFrame:
-    # odd orders are staged a day after even ones; the third call finds nothing new
+    # orders before some of their lines and customers; odd orders commit last with an earlier stamp;
+    # the last call finds nothing new
     store, staging = _star(c, "increment"), TableStore(c.spark, c.scratch("arrived"))
-    odd = F.substring("transaction_id", 4, 20).cast("bigint") % 2 == 1
-    orders = c.stg("stg_ecom_transactions").withColumn(
-        "load_timestamp",
-        F.when(odd, F.col("load_timestamp") + F.expr("interval 1 day")).otherwise(F.col("load_timestamp")),
-    )
-    staging.replace(c.stg("stg_ecom_transaction_items"), "stg_ecom_transaction_items")
+    number = F.substring("transaction_id", 4, 20).cast("bigint")
+    odd = number % 2 == 1
+    orders = c.stg("stg_ecom_transactions").withColumns({
+        "load_timestamp": F.when(odd, F.col("load_timestamp") - F.expr("interval 1 day")).otherwise(F.col("load_timestamp")),
+        "load_id": F.when(odd, F.col("load_id") - 1).otherwise(F.col("load_id")),
+    })
+    items, customers = c.stg("stg_ecom_transaction_items"), store.read("dim_customer")
+    staging.replace(items.filter(number % 5 < 3), "stg_ecom_transaction_items")
     staging.replace(c.stg("stg_campaign_responses"), "stg_campaign_responses")
     staging.replace(orders.filter(~odd), "stg_ecom_transactions")
+    store.replace(customers.filter("pmod(hash(customer_id), 3) > 0"), "dim_customer")
     loaded = incremental.load_increment(store, staging)["transactions"]
+    staging.append(items.filter(number % 5 >= 3), "stg_ecom_transaction_items")
     staging.append(orders.filter(odd), "stg_ecom_transactions")
     loaded += incremental.load_increment(store, staging)["transactions"]
+    store.replace(customers, "dim_customer")
+    loaded += incremental.load_increment(store, staging)["transactions"]
     again = incremental.load_increment(store, staging)["transactions"]
     return _summary(store.read("fact_transactions")).withColumns(
         {"loaded": F.lit(loaded).cast("bigint"), "loaded_again": F.lit(again).cast("bigint")}
@@ -61,12 +68,14 @@ def _(c: Context) -> DataFrame:
 @query("I03_arriving_files", _summary_sql("fact_transactions"))
 def _(c: Context) -> DataFrame:
     store, staging = _star(c, "stream"), TableStore(c.spark, c.scratch("arrived"))
-    staging.replace(c.stg("stg_ecom_transaction_items"), "stg_ecom_transaction_items")
     folder, checkpoint = c.scratch("incoming"), c.scratch("progress")
-    orders = c.stg("stg_ecom_transactions")
+    orders, items = c.stg("stg_ecom_transactions"), c.stg("stg_ecom_transaction_items")
     third = F.substring("transaction_id", 4, 20).cast("bigint") % 3
+    # lines of some orders are staged after the orders have arrived
+    staging.replace(items.filter(third > 0), "stg_ecom_transaction_items")
     orders.filter(third < 2).repartition(2).write.parquet(folder)
     arrivals.load_arriving_transactions(store, staging, folder, checkpoint, files_per_batch=1).awaitTermination()
+    staging.append(items.filter(third == 0), "stg_ecom_transaction_items")
     # the rest arrives together with copies of what is already loaded
     orders.filter(third > 0).coalesce(1).write.mode("append").parquet(folder)
     arrivals.load_arriving_transactions(store, staging, folder, checkpoint).awaitTermination()

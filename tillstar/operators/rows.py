@@ -34,16 +34,21 @@ def latest_load(df: DataFrame, key: str) -> DataFrame:
     return keep_latest(df.filter(F.col(key).isNotNull()), [key], _load_order(df, key))
 
 
-def dedupe_staged(df: DataFrame, key: str, position: str | None = None) -> DataFrame:
+def dedupe_staged(
+    df: DataFrame, key: str, position: str | None = None, within: DataFrame | None = None
+) -> DataFrame:
     """Latest staged row per key, with rows lacking the key passed through untouched.
 
     Both halves filter the scan on the key, so row groups without (or with only) missing
     keys are skipped by their statistics. ``position`` names a column to number the scanned
-    rows with.
+    rows with. ``within`` holds keys, under its column names, to which rows are reduced before
+    they are ranked.
     """
     keyed, unkeyed = df.filter(F.col(key).isNotNull()), df.filter(F.col(key).isNull())
     if position:
         keyed, unkeyed = with_scan_position(keyed, position), with_scan_position(unkeyed, position)
+    if within is not None:
+        keyed, unkeyed = already_in(keyed, within, within.columns), already_in(unkeyed, within, within.columns)
     return keep_latest(keyed, [key], _load_order(df, key)).unionByName(unkeyed)
 
 

@@ -111,17 +111,19 @@ def scd2_merge(
     Staged keys are compared with the current versions once and stored with their label.
     History is copied; current versions are expired or updated in place by a join on the
     business key; new versions are added with keys above the highest existing one. All
-    comparisons are null-safe, and a version whose ``is_current`` is missing is history. No version
-    may start after ``as_of``. Also returns the number of keys per change label.
+    comparisons are null-safe, and a version whose ``is_current`` is missing is history. A
+    version that changed may not start after ``as_of``. Also returns the number of keys per change label.
     """
     current = F.coalesce("is_current", F.lit(False))
-    if not dim.filter(current & (F.col("valid_from") > F.lit(as_of))).isEmpty():
-        raise ValueError(f"a current version starts after {as_of}")
     classified = stored_once(classify(dim.filter(current), staged, business_key, tracked, in_place), "changes")
     # unchanged keys, usually almost all, need no join: their versions stay as they are
     verdict = classified.filter(F.col("change").isin("scd2_changed", "type1_changed")).select(
         F.col(business_key).alias("_id"), "change", *[F.col(c).alias(f"_new_{c}") for c in in_place]
     )
+    later = dim.filter(current & (F.col("valid_from") > F.lit(as_of)))
+    changed = verdict.filter("change = 'scd2_changed'")
+    if not later.join(changed, F.col(business_key) == F.col("_id"), "left_semi").isEmpty():
+        raise ValueError(f"a changed version starts after {as_of} and cannot end then")
     carried = (
         dim.filter(current)
         .join(verdict, F.col(business_key) == F.col("_id"), "left")

@@ -12,7 +12,7 @@ from tillstar import schemas
 from tillstar.functions import date_key, decimal_sum, mean, month_key, percent
 from tillstar.operators.keys import with_keys
 from tillstar.operators.lookup import lookup, lookup_scd2, own_exchange
-from tillstar.operators.rows import dedupe_staged, latest_load, not_yet_in
+from tillstar.operators.rows import already_in, dedupe_staged, latest_load, not_yet_in
 
 # Storage partition of the fact. Files are sorted by date within it, so file statistics skip
 # within a year and the number of folders stays small.
@@ -49,13 +49,16 @@ def transaction_lines(
     inclusive: bool = False,
     keep_orphans: bool = False,
     position: str | None = None,
+    only_of: DataFrame | None = None,
 ) -> DataFrame:
     """Fact rows without surrogate key: one per order line.
 
     Headers look up their customer version before they meet the lines, so the lines are
     shuffled once. Sales outside every version of their customer are dropped, or kept with
     NULL keys when ``keep_orphans`` is set. The net amount subtracts the discount from the
-    line total. Header tax and shipping repeat on each line and must not be summed.
+    line total. Header tax and shipping repeat on each line and must not be summed. With
+    ``only_of``, distinct transaction ids, lines of other transactions leave the scan before
+    copies of a line are ranked; a line keeps its transaction when it is staged again.
     """
     how = "left" if keep_orphans else "inner"
     header = (
@@ -66,7 +69,7 @@ def transaction_lines(
         )
     )
     header = lookup_scd2(header, dim_customer, "customer_id", "_day", "customer_key", inclusive=inclusive, how=how)
-    lines = dedupe_staged(_present(items, "transaction_id", "product_id"), "transaction_item_id", position)
+    lines = dedupe_staged(_present(items, "transaction_id", "product_id"), "transaction_item_id", position, only_of)
     extra = [position] if position else []
     lines = lookup(lines, dim_product, "product_id", "product_key", how=how).select(
         "transaction_id", "product_key", "quantity", "unit_price", "line_total", "discount_amount", *extra
@@ -112,13 +115,25 @@ def build_transactions(
 
 
 def new_transactions(
-    fact: DataFrame, transactions: DataFrame, items: DataFrame, dim_customer: DataFrame, dim_product: DataFrame
+    fact: DataFrame, loaded: DataFrame, transactions: DataFrame, items: DataFrame, dim_customer: DataFrame,
+    dim_product: DataFrame,
 ) -> DataFrame:
-    """Rows to append: transactions not in the fact yet, as a whole. Lines that arrive for a
+    """Rows to append: transactions not among the ``loaded`` ids yet, as a whole. Lines that arrive for a
     transaction already loaded are left out."""
-    fresh = not_yet_in(transactions, fact, ["transaction_id"], repeated=True)
+    fresh = not_loaded(transactions, loaded, "transaction_id")
     start = F.coalesce(fact.agg(F.max("transaction_key")).scalar(), F.lit(0)) + 1
-    return key_transactions(transaction_lines(fresh, items, dim_customer, dim_product, position=_POSITION), start)
+    lines = transaction_lines(
+        fresh, items, dim_customer, dim_product, position=_POSITION, only_of=fresh.select("transaction_id").distinct())
+    return key_transactions(lines, start)
+
+
+def not_loaded(batch: DataFrame, loaded: DataFrame, key: str) -> DataFrame:
+    """Rows of a batch whose key is not among the ``loaded`` ones.
+
+    The long list of loaded keys is first reduced to those of the batch, which the optimizer can
+    broadcast when the batch is small, so it is scanned but not shuffled.
+    """
+    return not_yet_in(batch, already_in(loaded.select(key), batch, [key], repeated=True), [key], repeated=True)
 
 
 def response_rows(

@@ -92,12 +92,31 @@ def load_dimensions(store: TableStore, staged: Mapping[str, DataFrame], as_of: d
     return counts | load_customers(store, staged["stg_crm_customers"], as_of)
 
 
+def loaded_ids(store: TableStore, fact: str, key: str) -> DataFrame:
+    """Distinct ``key`` values of a fact, from a narrow list that is kept beside it.
+
+    The list names the batch each id came from; batches it does not know yet, after an append or a
+    crash right after one, are added from the fact. So it always covers what the fact shows.
+    """
+    ledger = f"{fact}_ids"
+    known: set[str] = set()
+    if store.exists(ledger):
+        known = {r["batch"] for r in store.read(ledger).select("batch").distinct().collect()}  # one per load
+    for batch in store.batches(fact):
+        if batch not in known:
+            store.append(store.read(fact, batches=[batch]).select(key).distinct().withColumn("batch", F.lit(batch)), ledger)
+    # A batch without rows leaves none in the list and is looked at again.
+    return store.read(ledger).select(key)
+
+
 def load_transactions(store: TableStore, transactions: DataFrame, items: DataFrame) -> int:
     """Append transactions the fact does not hold; returns the rows added."""
     cover_dates(store, transactions, "transaction_date")
     customer, product = store.read("dim_customer"), store.read("dim_product")
     if store.exists("fact_transactions"):
-        rows = facts.new_transactions(store.read("fact_transactions"), transactions, items, customer, product)
+        rows = facts.new_transactions(
+            store.read("fact_transactions"), loaded_ids(store, "fact_transactions", "transaction_id"), transactions, items,
+            customer, product)
     else:
         rows = facts.build_transactions(transactions, items, customer, product)
     return store.append(rows, "fact_transactions", [facts.YEAR])

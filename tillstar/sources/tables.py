@@ -1,21 +1,27 @@
-"""Parquet tables with appends, versioned replacement and simple metadata."""
+"""Parquet tables with atomic appends, versioned replacement and simple metadata."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.session import matching_paths
 
+BATCH = "load_batch"
+
 
 class TableStore:
     """Tables under one root folder.
 
-    ``replace`` writes a new version beside the old one. A version counts once its job has
-    committed (its ``_SUCCESS`` marker exists), so a job may read a table while it rebuilds
-    it, and a failed rebuild leaves the old version in force. Old versions are kept.
+    ``replace`` writes a new version beside the old one, ``append`` a new batch folder into the
+    version in force. A batch counts once its job has committed (its ``_SUCCESS`` marker
+    exists), so all of its rows become visible at once or never; a job may read a table while it
+    rebuilds it, and a failed write leaves no trace in later reads. Old versions are kept.
+    Two appends may run side by side, but surrogate keys that continue from the highest one in
+    force need one load of a table at a time.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -23,9 +29,9 @@ class TableStore:
         self.root = root.rstrip("/")
 
     def version(self, name: str) -> int | None:
-        """Highest committed version, from file names alone."""
-        markers = matching_paths(self.spark, f"{self.root}/{name}/v*/_SUCCESS")
-        return max((int(m.rsplit("/", 2)[1].removeprefix("v")) for m in markers), default=None)
+        """Highest version with a committed batch, from file names alone."""
+        markers = matching_paths(self.spark, f"{self.root}/{name}/v*/{BATCH}=*/_SUCCESS")
+        return max((int(m.rsplit("/", 3)[1].removeprefix("v")) for m in markers), default=None)
 
     def path(self, name: str, version: int | None = None) -> str:
         version = version or self.version(name)
@@ -36,9 +42,20 @@ class TableStore:
     def exists(self, name: str) -> bool:
         return self.version(name) is not None
 
-    def read(self, name: str, schema=None) -> DataFrame:
+    def batches(self, name: str) -> list[str]:
+        """Committed batches of the version in force."""
+        markers = matching_paths(self.spark, f"{self.path(name)}/{BATCH}=*/_SUCCESS")
+        return sorted(m.rsplit("/", 2)[1].removeprefix(f"{BATCH}=") for m in markers)
+
+    def read(self, name: str, schema=None, batches: Iterable[str] | None = None) -> DataFrame:
+        """The committed rows, of the given batches only if these are named; others are pruned by folder."""
+        path = self.path(name)
         reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
-        return reader.parquet(self.path(name))
+        wanted = self.batches(name) if batches is None else list(batches)
+        rows = reader.parquet(path)
+        if batches is not None or len(wanted) < len(matching_paths(self.spark, f"{path}/{BATCH}=*")):
+            rows = rows.filter(F.col(BATCH).isin(wanted))
+        return rows.drop(BATCH)
 
     def columns(self, name: str) -> list[str]:
         return self.read(name).columns
@@ -54,12 +71,13 @@ class TableStore:
         frames = {alias: self.read(name) for alias, name in tables.items()}
         return self.spark.sql(text, args=args or {}, **frames)
 
-    def _write(self, df: DataFrame, path: str, mode: str, partition_by: Sequence[str]) -> int:
+    def _write(self, df: DataFrame, path: str, partition_by: Sequence[str]) -> int:
         seen = Observation()
-        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
+        # A letter first: the name must not be taken for a number.
+        writer.parquet(f"{path}/{BATCH}=b{uuid.uuid4().hex}")
         return seen.get["rows"]
 
     def append(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> int:
@@ -67,9 +85,9 @@ class TableStore:
         version = self.version(name)
         if version is None:
             return self.replace(df, name, partition_by)
-        return self._write(df, self.path(name, version), "append", partition_by)
+        return self._write(df, self.path(name, version), partition_by)
 
     def replace(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> int:
         """Write the whole table anew; returns the number of rows written."""
         version = (self.version(name) or 0) + 1
-        return self._write(df, self.path(name, version), "overwrite", partition_by)
+        return self._write(df, self.path(name, version), partition_by)

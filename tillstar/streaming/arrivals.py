@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tillstar import schemas
 from tillstar.plans import warehouse
 from tillstar.sources.tables import TableStore
+from tillstar.streaming.incremental import load_with_pending
 
 
 def _stream(
@@ -35,11 +36,15 @@ def load_arriving_transactions(
 
     Each micro-batch runs the incremental fact load. A batch that is repeated after a
     failure finds its transactions in the fact and adds nothing; the checkpoint remembers
-    which files are done.
+    which files are done. Orders whose lines or customers are not there yet stay pending and are
+    tried again with each later batch.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        warehouse.load_transactions(store, batch, staging.read("stg_ecom_transaction_items"))
+        items = staging.read("stg_ecom_transaction_items")
+        load_with_pending(
+            store, "stg_ecom_transactions", "fact_transactions", "transaction_id", batch,
+            lambda rows: warehouse.load_transactions(store, rows, items))
 
     return _stream(store, "stg_ecom_transactions", folder, checkpoint, load, files_per_batch)
 
@@ -50,6 +55,8 @@ def load_arriving_responses(
     """Load campaign responses from new files of ``folder``."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        warehouse.load_responses(store, batch)
+        load_with_pending(
+            store, "stg_campaign_responses", "fact_campaign_responses", "response_id", batch,
+            lambda rows: warehouse.load_responses(store, rows))
 
     return _stream(store, "stg_campaign_responses", folder, checkpoint, load, files_per_batch)
