@@ -27,6 +27,8 @@ BANDS, BAND_ROWS = 25, 5
 _BLOCK = 1 << 15
 # Documents, and shingles of these, that are compared with each other in one go.
 GROUP_DOCS, GROUP_SHINGLES = 1024, 1 << 19
+# So many identifiers with their 16-byte keys, some 50 MB, may be broadcast.
+BROADCAST_IDS = 1_000_000
 
 
 def shingle_set(text: bytes | None, width: int) -> np.ndarray:
@@ -203,11 +205,14 @@ def near_duplicates(
                                 F.col("leader.key").alias("key_b")), "leaders")
     in_buckets = stored(
         members.join(leaders, "band").withColumnsRenamed({"rep": "a", "n": "n_a", "key": "key_a"}), "in-buckets")
-    # Full shingle sets of the classes that share a bucket with another; texts are shuffled this once.
+    # Full shingle sets of the classes that share a bucket with another; texts are shuffled at most this once.
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("binary").alias("text"))
     shared = in_buckets.select(F.col("a").alias("id"), F.col("key_a").alias("key")).distinct()
+    shared = stored(shared, "shared")
+    if shared.count() <= BROADCAST_IDS:  # else both sides are shuffled
+        shared = F.broadcast(shared)
     sets = stored(
-        with_small_batches(stored(shared, "shared").join(texts, "id"))
+        with_small_batches(shared.join(texts, "id"))
         .mapInArrow(_sets(shingle_words), "id bigint, shingles array<bigint>"), "sets")
     possible = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
     pairs = stored(
