@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
@@ -136,3 +138,22 @@ def test_date_dimension_has_every_day_once_with_monday_weeks(spark):
         0, "Sunday", D(2024, 2, 26), True,
     )
     assert (sunday["month_end_date"], sunday["quarter_end_date"]) == (D(2024, 3, 31), D(2024, 3, 31))
+
+
+def test_versions_without_is_current_survive_a_merge(spark):
+    import datetime as dt
+
+    from tillstar.operators.scd import scd2_merge
+
+    dim = spark.createDataFrame(
+        [(1, "A", "x", dt.date(2000, 1, 1), dt.date(9999, 12, 31), True), (2, "B", "y", dt.date(2000, 1, 1), dt.date(2000, 6, 1), None)],
+        "k bigint, id string, v string, valid_from date, valid_to date, is_current boolean")
+    staged = spark.createDataFrame([("A", "z", dt.date(2000, 1, 1))], "id string, v string, since date")
+
+    def merge(day):
+        return scd2_merge(dim, staged, day, business_key="id", surrogate="k", tracked=["v"], in_place=[], first_valid_from="since")
+
+    assert sorted((r["k"], r["v"], r["is_current"]) for r in merge(dt.date(2001, 1, 1)).dim.collect()) == [
+        (1, "x", False), (2, "y", None), (3, "z", True)]
+    with pytest.raises(ValueError):
+        merge(dt.date(1999, 1, 1))

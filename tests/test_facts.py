@@ -123,3 +123,32 @@ def test_dates_outside_the_calendar_are_reported(ctx):
     report = {(r["fact_table"], r["fk_column"]): r["orphan_count"] for r in validation.integrity_report(damaged).collect()}
     assert report[("fact_transactions", "transaction_date_key")] == ctx["fact_transactions"].count()
     assert report[("fact_transactions", "customer_key")] == 0
+
+
+def test_sales_beyond_the_calendar_stay_in_every_report(spark, store):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from tillstar.plans import analytics, facts, warehouse
+
+    warehouse.load_dates(store, dt.date(2000, 1, 1), dt.date(2001, 12, 31))
+    staged = spark.createDataFrame([(dt.datetime(2031, 5, 6),), (dt.datetime(2001, 5, 6),)], "transaction_date timestamp_ntz")
+    warehouse.cover_dates(store, staged, "transaction_date")
+    days = store.read("dim_date")
+    assert days.agg(F.max("date_key"), F.min("date_key"), F.count("*")).first()[:2] == (20311231, 20000101)
+    assert days.count() == days.select("date_key").distinct().count() == (dt.date(2031, 12, 31) - dt.date(1999, 12, 31)).days
+    fact = spark.createDataFrame(
+        [(1, 20310506, "T1", 2, "40.00", "0"), (1, 20010506, "T2", 1, "20.00", "0")],
+        "customer_key bigint, transaction_date_key int, transaction_id string, quantity int, net string, off string",
+    ).selectExpr("*", "cast(net as decimal(12,2)) as net_amount", "cast(off as decimal(10,2)) as discount_amount")
+    assert {(r["year_month"], str(r["total_amount"])) for r in facts.customer_monthly(fact).collect()} == {
+        (203105, "40.00"), (200105, "20.00")}
+    assert analytics.with_dates(fact, days, "day_name").count() == 2
+
+
+def test_totals_beyond_sixteen_digits(spark):
+    from tillstar.functions import decimal_sum
+
+    df = spark.range(4).selectExpr("cast(9999999999999999.99 as decimal(18,2)) as v")
+    assert str(df.agg(decimal_sum("v").alias("t")).first()["t"]) == "39999999999999999.96"

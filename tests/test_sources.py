@@ -87,3 +87,54 @@ def test_profile_of_nulls_ties_and_types(spark):
 def test_profile_of_an_empty_table(spark):
     got = profile.profile(spark.createDataFrame([], "s string"), "t", NOW.date()).first()
     assert (got["total_rows"], got["null_count"], got["distinct_count"], got["null_percentage"]) == (0, 0, 0, 0.0)
+
+
+def test_csv_is_read_by_name_with_quotes_and_line_breaks(spark, ctx):
+    from tillstar import schemas
+    from tillstar.sources import files
+
+    names = schemas.SOURCE["stg_products"].names
+    order = ["product_category", *[n for n in names if n != "product_category"]]  # header in another order
+
+    def line(**given):
+        values = {n: "" for n in names} | given
+        return ",".join('"' + v.replace('"', '""') + '"' if any(c in v for c in '",\n') else v for v in (values[n] for n in order))
+
+    text = "\n".join([
+        ",".join(order),
+        line(product_id="1", product_name='12" vinyl, red', product_category="Music", unit_cost="1.50"),
+        line(product_id="2", product_name="two\nlines", product_category="Toys", unit_cost=""),
+        line(product_id="3", product_name="bad", product_category="Toys", unit_cost="dear"),
+        line(product_id="4", product_name="short", product_category="Toys") .rsplit(",", 2)[0],
+    ]) + "\n"
+    folder = ctx.scratch("csv (a)")  # a name with signs of regular expressions
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/products_1.csv")
+    out = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).create(path)
+    out.write(bytearray(text.encode()))
+    out.close()
+    found = files.latest_file(spark, folder, "products_*.csv")
+    assert found and found.endswith("products_1.csv")
+    got = {r["product_name"]: r for r in files.read_source(spark, "stg_products", found).cache().collect()}
+    good = {n: r for n, r in got.items() if r[files.CORRUPT] is None}
+    assert set(good) == {'12" vinyl, red', "two\nlines"} and len(got) == 4
+    assert good['12" vinyl, red']["product_category"] == "Music" and good["two\nlines"]["unit_cost"] is None
+
+
+def test_uncommitted_batches_are_not_read(spark, store):
+    store.append(spark.range(3).toDF("x"), "t")
+    store.append(spark.range(10, 12).toDF("x"), "t")
+    spark.range(90, 95).toDF("x").write.parquet(f"{store.path('t')}/load_batch=bbroken")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{store.path('t')}/load_batch=bbroken/_SUCCESS")
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, False)
+    assert sorted(rows(store.read("t"))) == [(0,), (1,), (2,), (10,), (11,)] and store.columns("t") == ["x"]
+    assert len(store.batches("t")) == 2
+
+
+def test_profile_keeps_the_digits_of_doubles(spark):
+    import datetime as dt
+
+    from tillstar.sources.profile import profile
+
+    df = spark.createDataFrame([(0.00001,), (0.00003,)], "x double")
+    (r,) = profile(df, "t", dt.date(2001, 1, 1)).collect()
+    assert abs(r["avg_value"] - 0.00002) < 1e-12

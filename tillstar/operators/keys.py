@@ -3,17 +3,22 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillstar.session import shared_folder
+from tillstar.session import remove_folder, shared_folder
 
 # monotonically_increasing_id keeps the partition number above bit 33.
 _ROW_BITS = 33
 
 
+_OPENED: ContextVar[list[str] | None] = ContextVar("opened", default=None)
+
+
 def with_scan_position(df: DataFrame, name: str = "_scan_position") -> DataFrame:
     """Number the rows of a file scan, so that exact copies can be told apart.
 
@@ -32,23 +37,45 @@ def stored_once(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    opened = _OPENED.get()
+    if opened is not None:
+        opened.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def released_after(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that ``stored_once`` writes inside, at the end. Results that read them must have been
+    written elsewhere by then."""
+    opened: list[str] = []
+    token = _OPENED.set(opened)
+    try:
+        yield
+    finally:
+        _OPENED.reset(token)
+        for path in opened:
+            remove_folder(spark, path)
+
+
 def with_keys(
     df: DataFrame,
     key: str,
     order_by: Sequence[str],
     start: Column | int = 1,
     partitions: int | None = None,
+    store_first: bool = False,
 ) -> DataFrame:
     """Add ``key`` = start, start+1, ... following ``order_by`` over the whole DataFrame.
 
     Rows are range-partitioned and sorted once and written to the shared folder together
     with their place (partition, row). One count per partition, a handful of rows, gives the
     offset of each partition; it is broadcast back, so no task sees more than its own range.
-    Keys are read off stored places, hence a lost executor cannot renumber rows.
+    Keys are read off stored places, hence a lost executor cannot renumber rows. Range
+    partitioning reads its input twice, for a sample and for the rows; ``store_first`` keeps a costly
+    input from being computed twice.
     """
+    if store_first:
+        df = stored_once(df, "keys")
     ranged = df.repartitionByRange(partitions, *order_by) if partitions else df.repartitionByRange(*order_by)
     placed = ranged.sortWithinPartitions(*order_by).withColumn("_place", F.monotonically_increasing_id())
     stored = stored_once(placed, "keys")

@@ -54,7 +54,7 @@ def dedupe_staged(
 
 def differs(pairs: Sequence[tuple[Column, Column]]) -> Column:
     """True when any pair differs; NULL equals NULL."""
-    return reduce(lambda a, b: a | b, (~left.eqNullSafe(right) for left, right in pairs))
+    return reduce(lambda a, b: a | b, (~left.eqNullSafe(right) for left, right in pairs), F.lit(False))
 
 
 def _keys_of(existing: DataFrame, keys: Sequence[str], repeated: bool) -> DataFrame:

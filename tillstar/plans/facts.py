@@ -99,7 +99,7 @@ def key_transactions(lines: DataFrame, start: Column | int = 1) -> DataFrame:
     """Number fact rows by date and transaction and add the storage year."""
     tie = [c for c in lines.columns if c == _POSITION]
     keep = [*schemas.WAREHOUSE["fact_transactions"].names[1:], *tie]
-    keyed = with_keys(lines.select(*keep), "transaction_key", [*_LINE_ORDER, *tie], start)
+    keyed = with_keys(lines.select(*keep), "transaction_key", [*_LINE_ORDER, *tie], start, store_first=True)
     typed = [F.col(f.name).cast(f.dataType) for f in schemas.WAREHOUSE["fact_transactions"]]
     return keyed.select(*typed, F.floor(F.col("transaction_date_key") / 10000).cast("int").alias(YEAR))
 

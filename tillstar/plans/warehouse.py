@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstar import schemas
+from tillstar.operators.keys import released_after
 from tillstar.plans import dimensions, facts
 from tillstar.sources.tables import TableStore
 
@@ -72,9 +73,10 @@ def load_customers(store: TableStore, staged: DataFrame, as_of: dt.date) -> dict
     """Merge a customer snapshot; returns keys per change label."""
     known = store.exists("dim_customer")
     before = store.read("dim_customer") if known else dimensions.empty(store.spark, "dim_customer")
-    merged, changes = dimensions.merge_customer(before, staged, as_of)
-    counts = {row["change"]: row["customers"] for row in changes.collect()}  # at most four rows
-    store.replace(merged, "dim_customer")
+    with released_after(store.spark):
+        merged, changes = dimensions.merge_customer(before, staged, as_of)
+        counts = {row["change"]: row["customers"] for row in changes.collect()}  # at most four rows
+        store.replace(merged, "dim_customer")
     return {
         "customers_new": counts.get("new", 0),
         "customers_updated": counts.get("scd2_changed", 0),
@@ -112,6 +114,11 @@ def loaded_ids(store: TableStore, fact: str, key: str) -> DataFrame:
 def load_transactions(store: TableStore, transactions: DataFrame, items: DataFrame) -> int:
     """Append transactions the fact does not hold; returns the rows added."""
     cover_dates(store, transactions, "transaction_date")
+    with released_after(store.spark):
+        return _load_transactions(store, transactions, items)
+
+
+def _load_transactions(store: TableStore, transactions: DataFrame, items: DataFrame) -> int:
     customer, product = store.read("dim_customer"), store.read("dim_product")
     if store.exists("fact_transactions"):
         rows = facts.new_transactions(
@@ -125,8 +132,9 @@ def load_transactions(store: TableStore, transactions: DataFrame, items: DataFra
 def load_responses(store: TableStore, responses: DataFrame) -> int:
     cover_dates(store, responses, "response_date")
     known = store.read("fact_campaign_responses") if store.exists("fact_campaign_responses") else None
-    rows = facts.build_responses(responses, store.read("dim_customer"), store.read("dim_campaign"), known)
-    return store.append(rows, "fact_campaign_responses")
+    with released_after(store.spark):
+        rows = facts.build_responses(responses, store.read("dim_customer"), store.read("dim_campaign"), known)
+        return store.append(rows, "fact_campaign_responses")
 
 
 def load_facts(store: TableStore, staged: Mapping[str, DataFrame]) -> dict[str, int]:

@@ -50,6 +50,12 @@ def shared_folder(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate rows, on whatever file system it lies."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a glob, on whatever file system it names."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)

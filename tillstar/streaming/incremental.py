@@ -9,7 +9,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.operators.keys import stored_once
+from tillstar.operators.keys import released_after, stored_once
 from tillstar.operators.rows import latest_load, upsert
 from tillstar.plans import facts, warehouse
 from tillstar.sources.tables import TableStore
@@ -85,10 +85,11 @@ def load_with_pending(
     batch = fresh.filter(F.col(key).isNotNull())
     if store.exists(pending):
         batch = batch.unionByName(store.read(pending), allowMissingColumns=True)
-    batch = stored_once(latest_load(batch, key), pending)
-    added = load(batch)
-    left = facts.not_loaded(batch, warehouse.loaded_ids(store, fact, key), key) if store.exists(fact) else batch
-    store.replace(left, pending)
+    with released_after(store.spark):
+        batch = stored_once(latest_load(batch, key), pending)
+        added = load(batch)
+        left = facts.not_loaded(batch, warehouse.loaded_ids(store, fact, key), key) if store.exists(fact) else batch
+        store.replace(left, pending)
     return added
 
 
