@@ -24,6 +24,9 @@ LEAST_LETTERS = 20
 # Letters of test items that are broadcast at a time; a larger benchmark takes several passes.
 BLOCK_LETTERS = 8 << 20
 
+# Letters around a piece hit that are compared before the whole item is.
+_NEAR = 64
+
 _LETTERS = bytes(b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
 
@@ -75,11 +78,11 @@ class Index:
 
     def hits(self, text: str) -> list[tuple[int, int, int, int]]:
         """Item number, edits, begin and end of the best passage of each item found in a text."""
-        starts: dict[int, set[int]] = {}
+        starts: dict[int, dict[int, int]] = {}
         if self.items:
             for end, (size, places) in self.automaton.iter(text):
                 for number, offset in places:
-                    starts.setdefault(number, set()).add(end + 1 - size - offset)
+                    starts.setdefault(number, {})[end + 1 - size - offset] = offset
         found = []
         for number, places in starts.items():
             _, item, edits = self.items[number]
@@ -93,6 +96,11 @@ class Index:
                 for at in sorted(places):
                     if seen is not None and at <= seen:
                         continue  # its window was searched with the one before
+                    # The letters around the piece cannot differ by more edits than the whole item may.
+                    low = max(0, places[at] - _NEAR // 2)
+                    part = item[low:low + _NEAR]
+                    if distance(part, text[max(0, at + low - edits):max(0, at + low + len(part) + edits)])[0] > edits:
+                        continue
                     # Windows of neighbouring starts overlap, so one search covers the next few starts too.
                     seen = at + edits
                     begin = max(0, at - edits)
