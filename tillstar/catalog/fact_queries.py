@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -238,16 +240,16 @@ def _fact_view(name: str) -> str:
     f"select '{f}' as fact_table, '{k}' as fk_column, '{d}' as dim_table, {_orphan_sql(_fact_view(f), k, d, dk)} as orphan_count"
     for f, k, d, dk in validation.REFERENCES))
 def _(c: Context) -> DataFrame:
-    return validation.integrity_report(damaged(c))
+    return validation.integrity_report(damaged(c)).drop("records")
 
 
 def _constraint_sql() -> str:
     parts = []
     for table, rules in schemas.CONSTRAINTS.items():
         view = _fact_view(table)
-        keys = ", ".join(rules["unique"])
-        parts.append(f"""select '{table}' as table_name, 'unique' as constraint_type, '{','.join(rules['unique'])}' as columns,
-            (select count(*) from (select 1 from {view} group by {keys} having count(*) > 1)) as violations""")
+        parts += [f"""select '{table}' as table_name, 'unique' as constraint_type, '{','.join(key)}' as columns,
+            (select count(*) from (select 1 from {view} group by {', '.join(key)} having count(*) > 1)) as violations"""
+                  for key in rules["unique"]]
         parts += [f"select '{table}', 'not_null', '{x}', (select count(*) from {view} where {x} is null)"
                   for x in rules["not_null"]]
         parts += [f"select '{table}', 'foreign_key', '{x}', {_orphan_sql(view, x, d, k, False)}"
@@ -288,5 +290,4 @@ def _(c: Context) -> DataFrame:
     f"count(*) filter (where length({x}) > {w}) as violations from {t}"
     for t, widths in schemas.TEXT_WIDTHS.items() for x, w in widths.items()))
 def _(c: Context) -> DataFrame:
-    parts = [validation.overlong_text(c[t], t) for t in schemas.TEXT_WIDTHS]
-    return parts[0].union(parts[1])
+    return reduce(DataFrame.union, [validation.overlong_text(c[t], t) for t in schemas.TEXT_WIDTHS])

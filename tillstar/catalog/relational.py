@@ -27,14 +27,16 @@ def _(c: Context) -> DataFrame:
 
 
 @query("P02_not_null_key", """
-    select transaction_id, product_id, quantity from stg_ecom_transaction_items
-    where transaction_id is not null and product_id is not null and discount_amount > 0""")
-def _(c: Context) -> DataFrame:
-    items = c.stg("stg_ecom_transaction_items")
-    return (
-        items.filter(F.col("transaction_id").isNotNull() & F.col("product_id").isNotNull())
-        .filter("discount_amount > 0").select("transaction_id", "product_id", "quantity")
-    )
+    select transaction_id, product_id, quantity
+    from (select transaction_id, quantity, case when quantity % 7 = 0 then null else product_id end as product_id
+          from stg_ecom_transaction_items) q
+    where transaction_id is not null and product_id is not null""")
+def _(c: Context) -> DataFrame:
+    # some keys are missing
+    items = c.stg("stg_ecom_transaction_items").withColumn(
+        "product_id", F.when(F.col("quantity") % 7 == 0, F.lit(None)).otherwise(F.col("product_id")))
+    present = items.filter(F.col("transaction_id").isNotNull() & F.col("product_id").isNotNull())
+    return present.select("transaction_id", "product_id", "quantity")
 
 
 @query("P03_flag_filter", """

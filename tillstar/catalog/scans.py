@@ -198,10 +198,9 @@ def _profile_sql(view: str, columns: dict[str, str]) -> str:
     return " union all ".join(parts)
 
 
-_ITEM_COLUMNS = {"transaction_id": "string", "product_name": "string", "quantity": "int", "unit_price": "decimal(10,2)",
-                 "line_total": "decimal(12,2)"}
-_CUSTOMER_PROFILE = {"email": "string", "phone_number": "string", "gender": "string", "date_of_birth": "date",
-                     "customer_segment": "string"}
+_ITEM_COLUMNS, _CUSTOMER_PROFILE = (
+    {f.name: f.dataType.simpleString() for f in schemas.SOURCE[name]}
+    for name in ("stg_ecom_transaction_items", "stg_crm_customers"))
 
 
 @query("S11_column_profile", _profile_sql("stg_ecom_transaction_items", _ITEM_COLUMNS) + " union all "

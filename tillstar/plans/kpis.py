@@ -17,7 +17,7 @@ from tillstar.operators.aggregates import share_of_total
 from tillstar.operators.keys import stored_once
 from tillstar.plans import analytics
 from tillstar.plans.facts import since
-from tillstar.plans.validation import REFERENCES, orphans
+from tillstar.plans.validation import REFERENCES, integrity_report
 
 OUTLIER = 10000  # transactions above this amount do not count towards the order value
 ATTRIBUTION_DAYS = 30
@@ -325,15 +325,9 @@ def accuracy(results: DataFrame, rules: DataFrame, cats: DataFrame, as_of: dt.da
 
 def referential_integrity(tables: Mapping[str, DataFrame], references=REFERENCES) -> DataFrame:
     """Share of references that point to an existing dimension row, per reference."""
-    parts: DataFrame | None = None
-    for fact, column, dim, key in references:
-        total: Column = tables[fact].agg(row_count()).scalar()
-        row = orphans(tables[fact], column, tables[dim], key).select(
-            F.lit(fact).alias("fact_table"), F.lit(column).alias("fk_column"), total.alias("records"), "orphan_count"
-        )
-        parts = row if parts is None else parts.union(row)
+    report = integrity_report(tables, references).drop("dim_table")
     valid = F.col("records") - F.col("orphan_count")
-    return parts.withColumn("integrity", percent(valid, "records", None))
+    return report.withColumn("integrity", percent(valid, "records", None))
 
 
 def duplicate_rate(df: DataFrame, keys: Sequence[str]) -> DataFrame:

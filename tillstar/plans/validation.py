@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar import schemas
 from tillstar.operators.lookup import lookup_scd2
 from tillstar.operators.rows import not_yet_in
 
+# The counted tables.
 COUNTED = (
     "dim_customer", "dim_product", "dim_campaign", "dim_date", "fact_transactions", "fact_campaign_responses",
 )
@@ -43,16 +44,41 @@ def orphans(fact: DataFrame, column: str, dim: DataFrame, key: str) -> DataFrame
     return not_yet_in(used, dim, [key]).agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("orphan_count"))
 
 
-def integrity_report(tables: Mapping[str, DataFrame], references=REFERENCES) -> DataFrame:
-    return _union(
-        [
-            orphans(tables[fact], column, tables[dim], key).select(
-                F.lit(fact).alias("fact_table"), F.lit(column).alias("fk_column"), F.lit(dim).alias("dim_table"),
-                "orphan_count",
-            )
-            for fact, column, dim, key in references
-        ]
-    )
+def integrity_report(tables: Mapping[str, DataFrame], references=REFERENCES, count_missing: bool = True) -> DataFrame:
+    """Rows and orphans of each reference (fact, column, dimension, key); every fact and dimension is read once.
+
+    A row is combined with others of the same reference and value before the shuffle, so only distinct
+    values are joined. A missing value is an orphan, unless ``count_missing`` is off.
+    """
+    by_fact: dict[str, list[int]] = {}
+    by_dim: dict[tuple[str, str], list[int]] = {}
+    for i, (fact, _, dim, key) in enumerate(references):
+        by_fact.setdefault(fact, []).append(i)
+        by_dim.setdefault((dim, key), []).append(i)
+
+    def entries(df: DataFrame, columns: list[tuple[int, str]]) -> DataFrame:
+        cells = [F.struct(F.lit(i).alias("_ref"), F.col(c).cast("bigint").alias("_value")) for i, c in columns]
+        return df.select(F.inline(F.array(*cells)))
+
+    used = _union([entries(tables[fact], [(i, references[i][1]) for i in own]) for fact, own in by_fact.items()])
+    if not count_missing:
+        used = used.filter("_value is not null")
+    used = used.groupBy("_ref", "_value").agg(F.count(F.lit(1)).alias("_rows"))
+    known = _union([entries(tables[dim], [(i, key) for i in own]) for (dim, key), own in by_dim.items()])
+    found = used.join(known.withColumn("_known", F.lit(True)).distinct(), ["_ref", "_value"], "left")
+
+    def total(i: int, rows: Column) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("_ref") == i, rows)), F.lit(0)).cast("bigint")
+
+    rows, lost = F.col("_rows"), F.when(F.col("_known").isNull(), F.col("_rows"))
+    counted = found.agg(*[total(i, x).alias(f"{n}{i}") for i in range(len(references)) for n, x in (("all", rows), ("lost", lost))])
+    cells = [
+        F.struct(
+            F.lit(fact).alias("fact_table"), F.lit(column).alias("fk_column"), F.lit(dim).alias("dim_table"),
+            F.col(f"all{i}").alias("records"), F.col(f"lost{i}").alias("orphan_count"))
+        for i, (fact, column, dim, _) in enumerate(references)
+    ]
+    return counted.select(F.inline(F.array(*cells)))
 
 
 def constraint_report(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -69,8 +95,9 @@ def constraint_report(tables: Mapping[str, DataFrame]) -> DataFrame:
 
     for table, rules in schemas.CONSTRAINTS.items():
         df = tables[table]
-        repeated = df.groupBy(*rules["unique"]).count().filter("count > 1")
-        row(table, "unique", ",".join(rules["unique"]), repeated.agg(F.count(F.lit(1)).alias("violations")))
+        for key in rules["unique"]:
+            repeated = df.groupBy(*key).count().filter("count > 1")
+            row(table, "unique", ",".join(key), repeated.agg(F.count(F.lit(1)).alias("violations")))
         # all mandatory columns of a table in one scan
         missing = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in rules["not_null"]])
         pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in rules["not_null"]])
@@ -80,10 +107,12 @@ def constraint_report(tables: Mapping[str, DataFrame]) -> DataFrame:
                 F.col("c").alias("columns"), F.col("v").alias("violations"),
             )
         )
-        for column, dim, key in rules["references"]:
-            present = df.filter(F.col(column).isNotNull())
-            row(table, "foreign_key", column,
-                orphans(present, column, tables[dim], key).withColumnRenamed("orphan_count", "violations"))
+    references = [(table, *r) for table, rules in schemas.CONSTRAINTS.items() for r in rules["references"]]
+    rows.append(
+        integrity_report(tables, references, count_missing=False).select(
+            F.col("fact_table").alias("table_name"), F.lit("foreign_key").alias("constraint_type"),
+            F.col("fk_column").alias("columns"), F.col("orphan_count").alias("violations"))
+    )
     return _union(rows)
 
 
@@ -113,27 +142,25 @@ def join_coverage(
     validity range, with the first matching transaction as an example.
     """
 
-    def value(name: str, df: DataFrame, expr) -> DataFrame:
-        return df.agg(expr.cast("string").alias("v")).select(F.lit(name).alias("metric"), F.col("v").alias("value"))
-
     one = F.count(F.lit(1))
     day = F.to_date("transaction_date")
     current = transactions.join(dim_customer.filter("is_current").select("customer_id"), "customer_id")
     dated = lookup_scd2(transactions, dim_customer, "customer_id", "transaction_date", "customer_key")
+
+    def values(df: DataFrame, **metrics: Column) -> DataFrame:
+        """All metrics of a table from one aggregate over it."""
+        counted = df.agg(*[c.cast("string").alias(n) for n, c in metrics.items()])
+        return counted.select(F.inline(F.array(*[
+            F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n in metrics])))
+
     return _union(
         [
-            value("staged_transactions", transactions, one),
-            value("staged_items", items, one),
-            value("customer_versions", dim_customer, one),
-            value("products", dim_product, one),
-            value("first_transaction_date", transactions, F.min(day)),
-            value("last_transaction_date", transactions, F.max(day)),
-            value("first_staged_customer_id", transactions, F.min("customer_id")),
-            value("first_dimension_customer_id", dim_customer, F.min("customer_id")),
-            value("first_staged_product_id", items, F.min("product_id")),
-            value("first_dimension_product_id", dim_product, F.min("product_id")),
-            value("transactions_matching_current_customer", current, one),
-            value("transactions_matching_valid_version", dated, one),
-            value("example_transaction", dated, F.min("transaction_id")),
+            values(transactions, staged_transactions=one, first_transaction_date=F.min(day), last_transaction_date=F.max(day),
+                   first_staged_customer_id=F.min("customer_id")),
+            values(items, staged_items=one, first_staged_product_id=F.min("product_id")),
+            values(dim_customer, customer_versions=one, first_dimension_customer_id=F.min("customer_id")),
+            values(dim_product, products=one, first_dimension_product_id=F.min("product_id")),
+            values(current, transactions_matching_current_customer=one),
+            values(dated, transactions_matching_valid_version=one, example_transaction=F.min("transaction_id")),
         ]
     )

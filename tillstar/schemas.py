@@ -72,6 +72,7 @@ AUDIT_LOG = _struct(
 )
 
 # Money totals are kept as DECIMAL(28,2): a hot customer over a full history does not fit (12,2).
+# Columns and types of the warehouse tables.
 WAREHOUSE = {
     name: _struct(ddl)
     for name, ddl in {
@@ -136,20 +137,29 @@ TEXT_WIDTHS = {
         "product_id": 50, "product_name": 255, "product_category": 100, "product_subcategory": 100,
         "brand": 100, "product_status": 20,
     },
+    "dim_date": {"day_name": 10, "month_name": 10, "month_abbr": 3, "quarter_name": 2, "holiday_name": 100},
+    "dim_campaign": {
+        "campaign_id": 50, "campaign_name": 255, "campaign_type": 50, "channel": 50, "target_audience": 100,
+        "campaign_status": 20,
+    },
+    "fact_transactions": {
+        "transaction_id": 50, "order_number": 50, "payment_method": 50, "payment_status": 20, "currency_code": 3,
+    },
+    "fact_campaign_responses": {"response_id": 50, "response_type": 50},
 }
 
-# Table constraints: unique key, mandatory columns, and references (column, table, key).
+# Table constraints, as unique keys, mandatory columns, and references (column, table, key).
 CONSTRAINTS = {
     "dim_customer": {
-        "unique": ("customer_key",),
+        "unique": (("customer_key",),),
         "not_null": ("customer_id", "valid_from", "valid_to", "is_current"),
         "references": (),
     },
-    "dim_product": {"unique": ("product_id",), "not_null": ("product_id",), "references": ()},
-    "dim_date": {"unique": ("date_key",), "not_null": ("date_actual",), "references": ()},
-    "dim_campaign": {"unique": ("campaign_id",), "not_null": ("campaign_id",), "references": ()},
+    "dim_product": {"unique": (("product_key",), ("product_id",)), "not_null": ("product_id",), "references": ()},
+    "dim_date": {"unique": (("date_key",), ("date_actual",)), "not_null": ("date_actual",), "references": ()},
+    "dim_campaign": {"unique": (("campaign_key",), ("campaign_id",)), "not_null": ("campaign_id",), "references": ()},
     "fact_transactions": {
-        "unique": ("transaction_key",),
+        "unique": (("transaction_key",),),
         "not_null": ("customer_key", "product_key", "transaction_date_key", "transaction_id"),
         "references": (
             ("customer_key", "dim_customer", "customer_key"),
@@ -158,7 +168,7 @@ CONSTRAINTS = {
         ),
     },
     "fact_campaign_responses": {
-        "unique": ("response_key",),
+        "unique": (("response_key",),),
         "not_null": ("customer_key", "campaign_key", "response_date_key", "response_id"),
         "references": (
             ("customer_key", "dim_customer", "customer_key"),
@@ -167,12 +177,12 @@ CONSTRAINTS = {
         ),
     },
     "agg_customer_monthly": {
-        "unique": ("customer_key", "year_month"),
+        "unique": (("customer_key", "year_month"),),
         "not_null": ("customer_key", "year_month"),
         "references": (("customer_key", "dim_customer", "customer_key"),),
     },
     "agg_product_daily": {
-        "unique": ("product_key", "date_key"),
+        "unique": (("product_key", "date_key"),),
         "not_null": ("product_key", "date_key"),
         "references": (("product_key", "dim_product", "product_key"), ("date_key", "dim_date", "date_key")),
     },
