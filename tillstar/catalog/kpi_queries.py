@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -127,6 +129,19 @@ def _(c: Context) -> DataFrame:
     return kpis.top_products(c["fact_transactions"], c["dim_product"])
 
 
+_PERIOD = "transaction_date_key between 20000301 and 20000831"
+
+
+@query("K12_top_products_of_a_period", f"""
+    select *, {sql_percent('revenue', f'(select sum(net_amount) from fact_transactions where {_PERIOD})')} as revenue_share
+    from (select product_id, product_name, {sql_money('sum(net_amount)')} as revenue
+          from fact_transactions f join dim_product p on f.product_key = p.product_key where {_PERIOD} group by 1, 2) q
+    order by revenue desc, product_id limit 10""")
+def _(c: Context) -> DataFrame:
+    return kpis.top_products(
+        c["fact_transactions"], c["dim_product"], first=dt.date(2000, 3, 1), last=dt.date(2000, 8, 31))
+
+
 @query("K13_category_performance", f"""
     select product_category, {sql_money('sum(net_amount)')} as total_revenue, cast(sum(quantity) as bigint) as total_units_sold,
            {sql_percent('sum(net_amount - quantity * unit_cost)', 'sum(net_amount)')} as profit_margin_pct

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 
 from tillstar.catalog.base import (
@@ -95,6 +97,17 @@ def _(c: Context) -> DataFrame:
     return analytics.top_products(c["fact_transactions"], c["dim_product"])
 
 
+@query("Q07_best_sellers", f"""
+    select product_id, product_name, cast(sum(quantity) as bigint) as units_sold, {sql_money('sum(net_amount)')} as total_revenue
+    from fact_transactions f join dim_product p on f.product_key = p.product_key
+    where transaction_date_key between 20000301 and 20000831
+    group by all order by units_sold desc, product_id limit 15""")
+def _(c: Context) -> DataFrame:
+    best = analytics.top_products(
+        c["fact_transactions"], c["dim_product"], 15, "units_sold", dt.date(2000, 3, 1), dt.date(2000, 8, 31))
+    return best.select("product_id", "product_name", "units_sold", "total_revenue")
+
+
 @query("Q08_category_performance", f"""
     select product_category, count(distinct p.product_key) as product_count,
            cast(sum(quantity) as bigint) as total_units_sold, count(distinct customer_key) as unique_customers,

@@ -16,7 +16,7 @@ from tillstar.functions import decimal_sum, full_years, mean, percent, ratio, ro
 from tillstar.functions.bins import CLV_TIER_REST, CLV_TIERS, VALUE_TIER_REST, VALUE_TIERS
 from tillstar.operators.aggregates import exact_mean, group_with_distincts, share_of_total
 from tillstar.operators.pairs import name_pairs
-from tillstar.plans.facts import since
+from tillstar.plans.facts import YEAR, since
 
 CHURN_DAYS = 180
 
@@ -167,7 +167,23 @@ def year_over_year(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 # --- products -------------------------------------------------------------------------------
 
 
-def top_products(fact: DataFrame, dim_product: DataFrame, k: int = 20) -> DataFrame:
+def between(fact: DataFrame, first: dt.date | None, last: dt.date | None) -> DataFrame:
+    """Fact rows of a period, both days inside; bounds on year and date key prune what lies outside."""
+    for day, late in ((first, False), (last, True)):
+        if day is not None:
+            number, key, year = day.year * 10000 + day.month * 100 + day.day, F.col("transaction_date_key"), F.col(YEAR)
+            fact = fact.filter(key <= number if late else key >= number)
+            if YEAR in fact.columns:
+                fact = fact.filter(year <= day.year if late else year >= day.year)
+    return fact
+
+
+def top_products(
+    fact: DataFrame, dim_product: DataFrame, k: int = 20, by: str = "total_revenue",
+    first: dt.date | None = None, last: dt.date | None = None,
+) -> DataFrame:
+    """Best products of a period by revenue, or ``by`` units sold or purchases."""
+    fact = between(fact, first, last)
     sold = fact.groupBy("product_key").agg(
         F.sum("quantity").alias("units_sold"),
         F.count_distinct("transaction_id").alias("times_purchased"),
@@ -176,7 +192,7 @@ def top_products(fact: DataFrame, dim_product: DataFrame, k: int = 20) -> DataFr
     )
     return (
         sold.join(dim_product, "product_key")
-        .orderBy(F.col("total_revenue").desc_nulls_first(), "product_id")
+        .orderBy(F.col(by).desc_nulls_first(), "product_id")
         .limit(k)
         .select(
             "product_id", "product_name", "product_category", "product_subcategory", "brand", "units_sold",

@@ -177,17 +177,21 @@ def units_per_period(fact: DataFrame, dim_date: DataFrame, period: str = "month"
     )
 
 
-def top_products(fact: DataFrame, dim_product: DataFrame, k: int = 10) -> DataFrame:
-    """Best products with their share of the revenue of all products."""
-    sold = fact.groupBy("product_key").agg(decimal_sum("net_amount").alias("revenue")).join(
+def top_products(
+    fact: DataFrame, dim_product: DataFrame, k: int = 10, first: dt.date | None = None, last: dt.date | None = None
+) -> DataFrame:
+    """Best products of a period with their share of the revenue of all products."""
+    sold = analytics.between(fact, first, last).groupBy("product_key").agg(decimal_sum("net_amount").alias("revenue")).join(
         dim_product.select("product_key", "product_id", "product_name"), "product_key"
     ).select("product_id", "product_name", "revenue")
     shared = share_of_total(sold, "revenue", "revenue_share")
     return shared.orderBy(F.col("revenue").desc_nulls_first(), "product_id").limit(k)
 
 
-def category_performance(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
-    return analytics.category_performance(fact, dim_product).select(
+def category_performance(
+    fact: DataFrame, dim_product: DataFrame, first: dt.date | None = None, last: dt.date | None = None
+) -> DataFrame:
+    return analytics.category_performance(analytics.between(fact, first, last), dim_product).select(
         "product_category", "total_revenue", "total_units_sold", "profit_margin_pct"
     )
 
