@@ -77,3 +77,41 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
+# --- the same by all pairs, for small tables ------------------------------------------------
+
+_REACHED = """
+    reached as (
+        select id, id as other from vertices
+        union
+        select r.id, l.b from reached r join links l on l.a = r.other)"""
+
+ORACLES["op2_embedding_near_dedup"] = f"""
+with recursive vertices as (select vec_id as id, cast(embedding as double[]) as v, label from embeddings),
+    good as (
+        select * from vertices where label is not null and len(v) > 0 and len(list_filter(v, lambda x: x is null or not isfinite(x))) = 0
+            and len(list_filter(v, lambda x: x <> 0)) > 0),
+    links as (
+        select a.id as a, b.id as b from good a join good b
+        on a.label = b.label and len(a.v) = len(b.v) and a.id <> b.id and list_cosine_similarity(a.v, b.v) >= 0.93),
+    {_REACHED}
+select v.id as vec_id, (select count(*) from links l where l.a = v.id) as n_links, r.component_id, v.id = r.component_id as kept
+from vertices v join (select id, min(other) as component_id from reached group by id) r on v.id = r.id"""
+
+ORACLES["op10_minhash_near_dedup"] = f"""
+with recursive words as (
+        select doc_id as id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w
+        from documents),
+    vertices as (
+        select id, case when len(w) = 0 then [] else list_distinct(list_transform(
+            range(1, greatest(len(w) - 3, 1) + 1), lambda i: array_to_string(w[i:i + 3], ' '))) end as s
+        from words),
+    shingles as (select id, len(s) as n, unnest(s) as shingle from vertices),
+    links as (
+        select a.id as a, b.id as b from shingles a join shingles b on a.shingle = b.shingle and a.id <> b.id
+        group by a.id, b.id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+    {_REACHED}
+select v.id as doc_id, cast(len(v.s) as bigint) as n_shingles, r.component_id, v.id = r.component_id as kept
+from vertices v join (select id, min(other) as component_id from reached group by id) r on v.id = r.id"""
