@@ -133,10 +133,11 @@ def smallest_reachable(x: np.ndarray, y: np.ndarray, count: int) -> np.ndarray:
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges ``a``, ``b``: every node with the smallest node it reaches.
 
-    Each round points every node at its smallest neighbour, follows that pointer once more and
-    contracts the edges, so a star takes one round and a path shrinks to a third of its length.
-    Rounds work on stored tables, only whether edges are left reaches the driver, and both
-    sides of every join have an exchange of their own, so a hub with many edges can be split.
+    Each round points every node at its smallest neighbour, follows pointers by doubling to
+    their ends and contracts the edges. A star takes one round, and so does a path in order of its nodes, with a
+    doubling for each power of two of its length. Rounds work on stored tables, only whether rows are left
+    reaches the driver, and both sides of every join have an exchange of their own, so a hub with many
+    edges can be split.
     """
     left = stored(
         edges.filter("a is not null and b is not null and a <> b")
@@ -145,8 +146,11 @@ def components(edges: DataFrame) -> DataFrame:
     while not left.isEmpty():
         both = left.union(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
         up = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("to")), "up")
-        further = up.select(F.col("node").alias("to"), F.col("to").alias("next")).filter("next < to")
-        up = stored(up.join(further, "to", "left").select("node", F.coalesce("next", "to").alias("to")), "up")
+        while True:
+            further = up.filter("to < node").select(F.col("node").alias("to"), F.col("to").alias("next"))
+            if up.join(further, "to").isEmpty():
+                break
+            up = stored(up.join(further, "to", "left").select("node", F.coalesce("next", "to").alias("to")), "up")
         if labels is None:
             labels = up.withColumnRenamed("to", "component")
         else:

@@ -215,8 +215,7 @@ def near_duplicates(
         with_small_batches(shared.join(texts, "id"))
         .mapInArrow(_sets(shingle_words), "id bigint, shingles array<bigint>"), "sets")
     possible = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
-    pairs = stored(
-        in_buckets.filter("a <> b").filter(possible).select("a", "b", "n_a", "n_b").distinct(), "pairs")
+    pairs = in_buckets.filter("a <> b").filter(possible).select("a", "b", "n_a", "n_b").distinct()
     both = F.size(F.array_intersect("shingles_a", "shingles_b"))
     verified = stored(
         pairs.join(sets.withColumnsRenamed({"id": "a", "shingles": "shingles_a"}), "a")
