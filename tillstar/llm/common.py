@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tillstar.operators.keys import stored_once
 
 # Rows in one Arrow batch: a batch of very long texts then still fits a Python worker.
-BATCH_ROWS = 512
+BATCH_ROWS = 256
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

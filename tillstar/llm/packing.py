@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,8 +52,7 @@ class WordIds:
         self.known: dict[bytes, int] = {}
         self.ids = np.empty(1 << 16, np.uint32)
         self.used = 0
-        self.starts: list[int] = []
-        self.sizes: list[int] = []
+        self.starts, self.sizes = array("q"), array("q")
 
     def _keep(self, word: bytes, ids: np.ndarray | list[int]) -> None:
         end = self.used + len(ids)
@@ -108,8 +108,8 @@ class WordIds:
             self._learn(new)
         counts = np.fromiter(map(len, words), np.int64, len(words))
         at = np.fromiter((self.known[w] for ws in words for w in ws), np.int64, int(counts.sum()))
-        sizes = np.asarray(self.sizes, np.int64)[at] if len(at) else at
-        starts = np.asarray(self.starts, np.int64)[at] if len(at) else at
+        sizes = np.frombuffer(self.sizes, np.int64)[at] if len(at) else at
+        starts = np.frombuffer(self.starts, np.int64)[at] if len(at) else at
         ends = np.cumsum(sizes)
         source = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
         flat = self.ids[source]
