@@ -77,3 +77,34 @@ def test_spans_and_edge_cases(spark):
     assert (got[7].base_labels, got[7].labels, got[7].spans[0].first, got[7].spans[0].edits) == ("", "apache", 2, 2)
     assert got[8].n_base == 2 and got[8].last_word == 2
     assert run(spark, []) == {}
+
+
+def test_only_the_licence_that_is_meant_is_named(spark, tmp_path):
+    texts = {
+        "Licensed under CC BY-NC 4.0.": "cc-by-nc", "Licensed under CC BY-SA 4.0.": "cc-by-sa", "Licensed under CC BY-ND 4.0.": "",
+        "Licenced under CC BY NC 4.0": "cc-by-nc", "Licensed under CC BY-NC 3.0.": "", "Licensed under CC BY 4.0.": "",
+        "Licensed under CC BY-NC 4.0. Licensed under CC BY-SA 4.0.": "cc-by-nc,cc-by-sa", "released under the mpl license": "",
+        "Released under the MIT License.": "mit", "Released under teh MIT license": "mit", "released under the isc license": "",
+        "Licenced under the Apache Licence, Version 2.0": "apache", "licensed under the apache license version 1.1": "apache",
+        "this work is licenced under the gnu general public licence version 3": "gpl",
+        "this work is licenced under the gnu general public licence version 2": "", "nothing of that kind": ""}
+    folder = str(tmp_path)
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{folder}/documents.parquet")
+    got = {r.doc_id: r for r in op3_license_scan(spark, folder).collect()}
+    assert {text: got[i].labels for i, text in enumerate(texts)} == texts
+    assert [(s.label, s.first, s.last, s.edits) for s in got[0].spans] == [("cc-by-nc", 0, 6, 0)]
+    assert got[2].spans == [] and got[2].score == 0
+
+
+def test_the_query_names_no_licence_that_is_not_there(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    got = {r.doc_id: r.labels.split(",") for r in op3_license_scan(spark, SMALL).collect()}
+    for label, text in (("cc-by-nc", "CC BY-NC 4.0"), ("cc-by-sa", "CC BY-SA 4.0")):
+        assert {d for d in docs if label in got[d]} == {d for d, t in docs.items() if text in (t or "")}
+
+
+def test_of_overlapping_spans_those_with_the_fewest_edits_stay():
+    a, b = licenses.Notice("aa bb", "a", 12), licenses.Notice("aa cc", "b", 12)
+    assert licenses.winners([(0, 9, 2, a), (5, 12, 1, b), (12, 20, 2, a)]) == [(5, 12, 1, b), (12, 20, 2, a)]
+    assert licenses.winners([(0, 9, 1, a), (0, 9, 1, b)]) == [(0, 9, 1, a), (0, 9, 1, b)]
+    assert licenses.winners([]) == []

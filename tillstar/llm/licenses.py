@@ -7,6 +7,8 @@ matching then verifies each candidate in a window of n + 2k letters.
 
 from __future__ import annotations
 
+import bisect
+import itertools
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -37,6 +39,8 @@ NOTICES = {
     "redistribution and use in source and binary forms with or without modification": "bsd",
     "subject to the terms of the mozilla public license": "mpl",
 }
+# Short words of notices that tell licences apart, among them version numbers.
+TELLING = frozenset({"mit", "nc", "sa", "0", "2", "3", "4"})
 # One edit for so many letters of a notice.
 LETTERS_PER_EDIT = 12
 
@@ -49,14 +53,24 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_WORDS).split()
 
 
+def _pattern(words: list[str], edits: int, telling: frozenset[str]) -> bytes:
+    """Words with errors in between those that stand unchanged, as whole words."""
+    parts: list[bytes] = []
+    for unchanged, run in itertools.groupby(words, telling.__contains__):
+        text = regex.escape(" ".join(run).encode(), literal_spaces=True)
+        parts.append(b"(?<= )" + text + b"(?= )" if unchanged else b"(?:" + text + b"){e<=%d}" % edits)
+    return b"(?b)" + b" ".join(parts)
+
+
 class Notice:
-    def __init__(self, words: str, label: str, letters_per_edit: int):
+    def __init__(self, words: str, label: str, letters_per_edit: int, telling: frozenset[str] = frozenset()):
         self.words, self.label, self.text = words, label, words.encode()
         self.edits = len(self.text) // letters_per_edit
         count, size = self.edits + 1, len(self.text)
         cuts = [size * i // count for i in range(count + 1)]
         self.pieces = [(self.text[a:b], a) for a, b in zip(cuts, cuts[1:])]
-        self.pattern = regex.compile(b"(?b)(?:" + regex.escape(self.text) + b"){e<=%d}" % self.edits)
+        self.beyond = int(words.split(" ")[-1] in telling)
+        self.pattern = regex.compile(_pattern(words.split(" "), self.edits, telling))
 
     def candidates(self, text: bytes) -> list[int]:
         """Where the notice would begin, for each exact hit of a piece."""
@@ -74,15 +88,31 @@ class Notice:
         for at in self.candidates(text):
             if at < done - self.edits:
                 continue  # another piece of the passage just found
-            window = text[max(0, at - self.edits, done):at + len(self.text) + self.edits]
+            low = max(0, at - self.edits, done)
+            # A word that must stand unchanged is followed by a blank, maybe just beyond the passage.
+            window = text[low:at + len(self.text) + self.edits + self.beyond]
             match = self.pattern.search(window)
-            if match:
-                begin = max(0, at - self.edits, done) + match.start()
-                done = begin + match.end() - match.start()
+            if match and sum(match.fuzzy_counts) <= self.edits:
+                begin, done = low + match.start(), low + match.end()
                 yield begin, done, sum(match.fuzzy_counts)
 
 
-def _scan(phrases: dict[str, str], notices: dict[str, str], letters_per_edit: int):
+def winners(spans: list[tuple[int, int, int, Notice]]) -> list[tuple[int, int, int, Notice]]:
+    """Spans (begin, end, edits, notice) that overlap none of another label with fewer edits."""
+    kept: list[tuple[int, int, int, Notice]] = []
+    by_begin: list[tuple[int, int, int, Notice]] = []
+    longest = max((end - begin for begin, end, *_ in spans), default=0)
+    for span in sorted(spans, key=lambda s: s[2]):
+        begin, end, edits, notice = span
+        near = by_begin[bisect.bisect_left(by_begin, begin - longest, key=lambda s: s[0]):
+                        bisect.bisect_left(by_begin, end, key=lambda s: s[0])]
+        if not any(other[1] > begin and other[2] < edits and other[3].label != notice.label for other in near):
+            kept.append(span)
+            bisect.insort(by_begin, span, key=lambda s: s[0])
+    return kept
+
+
+def _scan(phrases: dict[str, str], notices: dict[str, str], letters_per_edit: int, telling: frozenset[str] | None):
     span = pa.struct([("notice", pa.string()), ("label", pa.string()), ("first", pa.int64()), ("last", pa.int64()),
                       ("edits", pa.int64())])
     schema = pa.schema([
@@ -92,7 +122,7 @@ def _scan(phrases: dict[str, str], notices: dict[str, str], letters_per_edit: in
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         exact = [(b" " + p.encode() + b" ", label) for p, label in phrases.items()]
-        fuzzy = [Notice(n, label, letters_per_edit) for n, label in notices.items()]
+        fuzzy = [Notice(n, label, letters_per_edit, telling or frozenset()) for n, label in notices.items()]
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
@@ -107,13 +137,13 @@ def _scan(phrases: dict[str, str], notices: dict[str, str], letters_per_edit: in
                         base.add(label)
                         at = joined.find(phrase, at + 1)
                 spans, best = [], 1.0 if base else 0.0
-                for notice in fuzzy:
-                    for begin, end, edits in notice.spans(joined):
-                        spans.append({
-                            "notice": notice.words, "label": notice.label, "edits": edits,
-                            "first": max(0, joined.count(b" ", 0, begin + 1) - 1),
-                            "last": max(0, joined.count(b" ", 0, max(begin + 1, end - 1)) - 1)})
-                        best = max(best, 1 - edits / len(notice.text))
+                hits = [(*hit, notice) for notice in fuzzy for hit in notice.spans(joined)]
+                for begin, end, edits, notice in hits if telling is None else winners(hits):
+                    spans.append({
+                        "notice": notice.words, "label": notice.label, "edits": edits,
+                        "first": max(0, joined.count(b" ", 0, begin + 1) - 1),
+                        "last": max(0, joined.count(b" ", 0, max(begin + 1, end - 1)) - 1)})
+                    best = max(best, 1 - edits / len(notice.text))
                 labels = base | {s["label"] for s in spans}
                 rows.append((
                     doc, len(words), len(places), joined.count(b" ", 0, min(places)) if places else None,
@@ -128,10 +158,14 @@ def _scan(phrases: dict[str, str], notices: dict[str, str], letters_per_edit: in
 
 def scan(
     docs: DataFrame, *, phrases: dict[str, str] | None = None, notices: dict[str, str] | None = None,
-    letters_per_edit: int = LETTERS_PER_EDIT,
+    letters_per_edit: int = LETTERS_PER_EDIT, telling: frozenset[str] | None = None,
 ) -> DataFrame:
     """Licence labels of every whole text.
 
+    Without ``telling``, every notice within its edits counts, also one that differs from another licence's by
+    no more than these. With it, these words of a notice must stand unchanged, and of overlapping spans of different labels
+    those with the fewest edits stay.
+
     ``doc_id, n_words, n_base`` (places of all phrases), ``first_word, last_word`` (smallest and
     largest of their starts, else null), ``base_labels, labels`` (sorted, comma-joined, empty if there are none),
     ``score`` (1 with a phrase, else the share of unedited letters of the best notice, else 0)
@@ -142,7 +176,7 @@ def scan(
     """
     ids = F.col("doc_id").cast("bigint").alias("doc_id")
     return text_rows(docs, ids).mapInArrow(
-        _scan(PHRASES if phrases is None else phrases, NOTICES if notices is None else notices, letters_per_edit),
+        _scan(PHRASES if phrases is None else phrases, NOTICES if notices is None else notices, letters_per_edit, telling),
         "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, "
         "labels string, score double, "
         "spans array<struct<notice: string, label: string, first: bigint, last: bigint, edits: bigint>>")

@@ -31,7 +31,7 @@ def op2_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return licenses.scan(table(spark, folder, "documents"))
+    return licenses.scan(table(spark, folder, "documents"), telling=licenses.TELLING)
 
 
 @query
