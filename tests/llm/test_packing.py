@@ -1,6 +1,7 @@
 """Packing against the tokenizer itself and the laws of a packing."""
 
 import collections
+import itertools
 import math
 import random
 import zlib
@@ -105,3 +106,19 @@ def test_nulls_copies_long_texts_and_clashing_names(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert packing.pack(df, tokenizer_file()).collect() == []
+
+
+def test_a_triple_goes_on_to_the_next_pair_when_a_length_has_run_out():
+    left = np.zeros(11, np.int64)
+    left[[4, 2, 3]] = 1, 1, 2
+    assert packing._complement(10, left) == [4, 3, 3] and left[[4, 2, 3]].tolist() == [1, 1, 2]
+    rng = np.random.default_rng(6)
+    for _ in range(400):
+        gap = int(rng.integers(3, 16))
+        left = rng.integers(0, 3, gap + 1) * (rng.random(gap + 1) < 0.4)
+        left[0] = 0
+        pool = np.repeat(np.arange(gap + 1), left).tolist()
+        fits = any(sum(c) == gap for n in (1, 2, 3) for c in itertools.combinations(pool, n))
+        found = packing._complement(gap, left)
+        assert (found is not None) == fits
+        assert found is None or (sum(found) == gap and packing._times(found, left) >= 1)

@@ -163,7 +163,7 @@ def _complement(gap: int, left: np.ndarray) -> list[int] | None:
     def pair(total: int, below: int) -> list[int] | None:
         # The hash index of single lengths is the array itself.
         first = lengths[(lengths >= (total + 1) // 2) & (lengths < min(total, below + 1))]
-        first = first[there[total - first]]
+        first = first[there[first] & there[total - first]]
         for a in first.tolist():
             if 2 * a != total or left[a] > 1:
                 return [a, total - a]
@@ -179,8 +179,12 @@ def _complement(gap: int, left: np.ndarray) -> list[int] | None:
         sums[b + reach] = True
     for a in lengths[lengths < gap].tolist():
         if sums[gap - a]:
+            left[a] -= 1  # a pair may not take this one again
+            there[a] = left[a] > 0
             two = pair(gap - a, a)
-            if two and _times([a, *two], left):
+            left[a] += 1
+            there[a] = True
+            if two:
                 return [a, *two]
     return None
 
