@@ -108,3 +108,18 @@ def test_large_group_with_loose_members(spark, monkeypatch):
         rows.append((doc, " ".join(text)))
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in run(spark, rows)}
     assert got == brute(rows)
+
+
+def test_a_member_known_by_its_size_alone_still_meets_loose_ones(spark):
+    """Of each group 0-1-2 are linked, 2 is too large to be compared with 0, and 3 is linked with 2 alone."""
+    last = [*range(19, 100), *range(107, 136), *range(200, 210)]
+    sets = [range(100), range(120), range(10, 136), last]
+    rows = [(10 * g + i, " ".join(f"g{g}w{x}" for x in s)) for g in range(400) for i, s in enumerate(sets)]
+    assert {d: c for d, (_, c, _) in brute(rows[:4], width=1).items()} == {0: 0, 1: 0, 2: 0, 3: 0}
+    signed = minhash.signatures([minhash.shingle_set(t.encode(), 1) for _, t in rows], 2).reshape(400, 4, 2)
+    # All share the first bucket; in the second, 1 and 2 are without the others.
+    a, b = signed[:, :, 0], signed[:, :, 1]
+    told = (a == a[:, :1]).all(1) & (b[:, 1] == b[:, 2]) & (b[:, 0] != b[:, 1]) & (b[:, 3] != b[:, 1]) & (b[:, 3] != b[:, 0])
+    assert told.any()
+    got = {r.doc_id: r.component_id for r in run(spark, rows, shingle_words=1, bands=2, band_rows=1)}
+    assert all(got[int(10 * g + i)] == 10 * g for g in np.flatnonzero(told) for i in range(4))

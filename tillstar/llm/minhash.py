@@ -239,7 +239,7 @@ def near_duplicates(
     if not apart.isEmpty():
         reach = 1 - percent / 100 + 1e-9
         loose = stored(
-            placed.join(apart, "band").filter(f"of_a <> of_b or distance >= nearest - {reach}")
+            placed.join(apart, "band").filter(f"of_a <> of_b or not exact or distance >= nearest - {reach}")
             .select("band", "a", "n_a", "of_a"), "loose")
         groups = stored(
             loose.groupBy("band").agg(
