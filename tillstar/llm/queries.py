@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import decontaminate, embeddings, katz, language, licenses, minhash, packing, quality, sharding, substring
+from tillstar.llm import (
+    decontaminate, embeddings, katz, language, licenses, minhash, packing, periodic, quality, sharding, substring)
 from tillstar.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +80,12 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic.periodic_runs(table(spark, folder, "documents"), tails=True).select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
 # --- the same by all pairs, for small tables ------------------------------------------------
 
 _REACHED = """
