@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.llm import (
-    decontaminate, embeddings, katz, language, licenses, minhash, packing, periodic, quality, sharding, substring)
+    decontaminate, embeddings, katz, language, licenses, minhash, negatives, packing, periodic, quality, sharding, substring)
 from tillstar.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +80,13 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@query
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, folder, "embeddings").withColumn("label", relabelled)
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 @query
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic.periodic_runs(table(spark, folder, "documents"), tails=True).select(
@@ -122,3 +129,23 @@ with recursive words as (
     {_REACHED}
 select v.id as doc_id, cast(len(v.s) as bigint) as n_shingles, r.component_id, v.id = r.component_id as kept
 from vertices v join (select id, min(other) as component_id from reached group by id) r on v.id = r.id"""
+
+ORACLES["op12_hard_negatives"] = """
+with vectors as (
+        select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+            list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+        from embeddings
+        where label is not null and embedding is not null
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    scores as (
+        select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same, cast(list_inner_product(a.v, b.v) as bigint) as score
+        from vectors a join vectors b on a.vec_id <> b.vec_id and len(a.v) = len(b.v) and a.vec_id % 100 = 0),
+    positives as (
+        select anchor_id, other_id as positive_id, score as positive_score from scores where same
+        qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5)
+select p.anchor_id, p.positive_id, cast(row_number() over (
+        partition by p.anchor_id, p.positive_id order by s.score desc, s.other_id) as integer) as rank,
+    s.other_id as negative_id, p.positive_score, s.score as negative_score
+from positives p join scores s
+    on s.anchor_id = p.anchor_id and not s.same and 80 * p.positive_score <= 100 * s.score and 100 * s.score <= 100 * p.positive_score
+qualify rank <= 5"""
