@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.llm import (
-    decontaminate, embeddings, katz, language, licenses, minhash, negatives, packing, periodic, quality, sharding, substring)
+    decontaminate, embeddings, katz, language, licenses, minhash, negatives, packing, periodic, quality, secrets, sharding, substring)
 from tillstar.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +80,12 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@query
+def op11_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan(table(spark, folder, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
 @query
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
