@@ -46,7 +46,7 @@ def test_reading_stops_early_and_keeps_ties():
         ids = rng.permutation(n)
         allowed = rng.random(n) < 0.8
         windows = [(None, None), (1, 3), (-5, 9), (None, 2)]
-        got = negatives.threshold_search(vectors, np.argsort(vectors, 0, kind="stable"), anchor, allowed, windows, ids, 5)
+        got = negatives.threshold_search(vectors, negatives._sorted_lists(vectors), anchor, allowed, windows, ids, 5)
         scores = vectors @ anchor
         for (low, high), found in zip(windows, got):
             fit = [(-s, i) for s, i, a in zip(scores, ids, allowed) if a and (low is None or s >= low) and (high is None or s <= high)]
@@ -59,7 +59,7 @@ def test_reading_stops_early_and_keeps_ties():
             return np.asarray(self) @ np.asarray(other)
 
     vectors = (rng.random((20000, 3)) * 256 // 1)
-    negatives.threshold_search(vectors.view(Counted), np.argsort(vectors, 0), np.array([200.0, 30.0, 10.0]),
+    negatives.threshold_search(vectors.view(Counted), negatives._sorted_lists(vectors), np.array([200.0, 30.0, 10.0]),
                                np.ones(20000, bool), [(None, None)], np.arange(20000), 5)
     assert 0 < read < 4000
 
@@ -69,7 +69,7 @@ def test_rows_of_all_kinds(spark):
     base = [[rng.uniform(-1, 1) for _ in range(6)] for _ in range(12)]
     rows = [(i, rng.randrange(3), [x + rng.uniform(-0.2, 0.2) for x in rng.choice(base)]) for i in range(300)]
     rows += [(300, 1, None), (301, None, base[0]), (302, 1, [None] + base[0][1:]), (303, 1, [float("nan")] + base[0][1:]),
-             (304, 1, [float("inf")] + base[0][1:]), (305, 1, [0.0] * 6), (306, 1, []), (307, 2, []), (308, 0, [1.0, 2.0]),
+             (304, 1, [float("inf")] + base[0][1:]), (305, 1, [0.0] * 6), (306, 1, []), (307, 2, []), (330, 1, []), (308, 0, [1.0, 2.0]),
              (None, 1, base[0]), (309, 2, [1e300] * 6), (310, 1, [-1e9] * 6), (311, 0, [3e8] * 6), (400, 0, [1e-300] * 6), (320, 77, base[3])]
     twice = rows + rows[:40]
     df = spark.createDataFrame([(i, v, lab, "x", 1) for i, lab, v in twice],

@@ -20,12 +20,12 @@ FLOOR_PERCENT = 80
 # Components become floor(SCALE * x).
 SCALE = 256
 # Candidates that one task sorts and anchors that meet them there, at most (on average).
-LEAST_BLOCK = 1024
+LEAST_BLOCK = 2048
 BLOCK = 16384
 ANCHOR_BLOCK = 16384
 SEED = 5
 # Rows read from each list before the threshold is first looked at; doubled after each look.
-FIRST_DEPTH = 4
+FIRST_DEPTH = 8
 _LONG = 2**63 - 1
 
 Found = list[tuple[int, int]]
@@ -37,32 +37,41 @@ def threshold_search(
 ) -> list[Found]:
     """For each window (lowest and highest score, None: open), the ``most`` best allowed rows in it as (score, id).
 
-    ``lists`` has the rows in ascending order of each dimension. Dimensions with a positive component of the anchor are read from the
+    ``lists`` has for each dimension the rows in ascending order. Dimensions with a positive component of the anchor are read from the
     top, those with a negative one from the bottom, so a row not read yet scores at most the sum over
     dimensions of component times the last value read: the threshold. Rows are scored when first read. Reading stops
-    once the threshold is strictly below the ``most``-th best score of every window, or below all that a window takes; a tie with it
-    could still have a smaller id.
+    once the threshold is strictly below the ``most``-th best score of every window, or below all that a window takes (a tie with it
+    could still have a smaller id), or once all allowed rows are read.
     """
     rows = len(vectors)
     up, down = np.flatnonzero(anchor > 0), np.flatnonzero(anchor < 0)
-    seen = ~allowed
-    scores, places = vectors[:0] @ anchor, np.zeros(0, np.int64)
+    highest = None if any(high is None for _, high in windows) else max(high for _, high in windows)
+    unread, left = allowed.copy(), int(np.count_nonzero(allowed))
+    scores, places = [vectors[:0] @ anchor], [np.zeros(0, np.int64)]
     depth, step = 0, FIRST_DEPTH
-    while depth < rows:
+    while left:
         to = min(rows, depth + step)
         if not len(up) and not len(down):
-            to, read = rows, np.arange(rows)  # every score is zero
+            to, fresh = rows, np.flatnonzero(unread)  # every score is zero
         else:
-            read = np.concatenate([lists[rows - to:rows - depth, up].ravel(), lists[depth:to, down].ravel()])
-        fresh = np.unique(read)
-        fresh = fresh[~seen[fresh]]
-        seen[fresh] = True
-        scores, places = np.concatenate([scores, vectors[fresh] @ anchor]), np.concatenate([places, fresh])
-        threshold = vectors[lists[rows - to, up], up] @ anchor[up] + vectors[lists[to - 1, down], down] @ anchor[down]
-        if all(_settled(scores, window, threshold, most) for window in windows):
+            read = np.zeros(rows, bool)
+            read[lists[:, rows - to:rows - depth][up]] = True
+            read[lists[:, depth:to][down]] = True
+            fresh = np.flatnonzero(read & unread)
+        unread[fresh] = False
+        left -= len(fresh)
+        scores.append(vectors[fresh] @ anchor)
+        places.append(fresh)
+        if not left:
             break
+        threshold = vectors[lists[up, rows - to], up] @ anchor[up] + vectors[lists[down, to - 1], down] @ anchor[down]
+        if highest is None or threshold < highest:  # else no window can be settled
+            so_far = np.concatenate(scores)
+            if all(_settled(so_far, window, threshold, most) for window in windows):
+                break
         depth, step = to, 2 * step
-    return [_best(scores, ids[places], window, most) for window in windows]
+    found, at = np.concatenate(scores), np.concatenate(places)
+    return [_best(found, ids[at], window, most) for window in windows]
 
 
 def _inside(scores: np.ndarray, window: tuple[int | None, int | None]) -> np.ndarray:
@@ -79,21 +88,25 @@ def _settled(scores: np.ndarray, window: tuple[int | None, int | None], threshol
     if window[0] is not None and threshold < window[0]:
         return True
     own = scores[_inside(scores, window)]
-    return len(own) >= most and bool(threshold < np.sort(own)[-most])
+    return len(own) >= most and bool(threshold < np.partition(own, -most)[-most])
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, window: tuple[int | None, int | None], most: int) -> Found:
     inside = _inside(scores, window)
     own, names = scores[inside], ids[inside]
     if len(own) > most:
-        top = (own >= np.sort(own)[-most]).astype(bool)
+        top = (own >= np.partition(own, -most)[-most]).astype(bool)
         own, names = own[top], names[top]
     best = nsmallest(most, zip((-int(s) for s in own), names.tolist()))
     return [(-s, i) for s, i in best]
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    return np.asarray(column.to_pylist(), float)
+    return np.asarray(column.combine_chunks().flatten(), float).reshape(len(column), len(column[0].as_py()))
+
+
+def _sorted_lists(vectors: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(np.argsort(vectors, 0, kind="stable").T)
 
 
 def _exact(anchors: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,7 +134,7 @@ def _own_label(most: int):
             for anchor, name, label in zip(own, anchors["vec_id"].to_pylist(), anchors["label"].to_pylist()):
                 if label not in by_label:
                     part = np.flatnonzero(labels == label)
-                    by_label[label] = matrix[part], np.argsort(matrix[part], 0, kind="stable"), ids[part]
+                    by_label[label] = matrix[part], _sorted_lists(matrix[part]), ids[part]
                 vectors, lists, names = by_label[label]
                 for score, other in threshold_search(vectors, lists, anchor, names != name, [(None, None)], names, most)[0]:
                     out.append((name, other, _stored_score(score)))
@@ -139,7 +152,7 @@ def _other_labels(most: int, percent: int):
         if anchors.num_rows and rows.num_rows:
             own, matrix = _exact(_matrix(anchors["vec"]), _matrix(rows["vec"]))
             ids, labels = rows["vec_id"].to_numpy(), rows["label"].to_numpy()
-            lists = np.argsort(matrix, 0, kind="stable")
+            lists = _sorted_lists(matrix)
             for anchor, name, label, scores in zip(
                     own, anchors["vec_id"].to_pylist(), anchors["label"].to_pylist(), anchors["scores"].to_pylist()):
                 windows = [(-(-percent * s // 100), s) for s in scores]
