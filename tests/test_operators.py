@@ -134,3 +134,20 @@ def test_pairs_match_brute_force_with_a_hot_basket(spark, slice_size):
 def test_share_uses_the_total_of_all_groups(spark):
     df = spark.createDataFrame([("a", 1), ("b", 3)], T.StructType.fromDDL("g string, v int"))
     assert rows(aggregates.share_of_total(df, "v", "p"), "g", "p") == [("a", 25.0), ("b", 75.0)]
+
+
+def test_pairs_that_cannot_reach_the_support_are_not_formed(spark):
+    """A thousand pairs bought once and one pair bought often: only what shares the bucket of the latter is formed."""
+    from tillstar.operators import pairs
+
+    single = spark.range(2000).selectExpr("concat('t', id div 2) as transaction_id", "id as product_key", "id as name_id")
+    often = spark.range(20).selectExpr("concat('o', id div 2) as transaction_id", "5000 + id % 2 as product_key", "5000 + id % 2 as name_id")
+    # each name of a single pair is on many lines of its own, so that names alone rule nothing out
+    alone = spark.range(20000).selectExpr("concat('a', id) as transaction_id", "id % 2000 as product_key", "id % 2000 as name_id")
+    lines = single.union(often).union(alone).selectExpr("*", "1L as n", "cast(1 as decimal(28,2)) as s")
+    for slice_size in (1, 1000):
+        formed = pairs.likely_pairs(lines, 10, slice_size)
+        assert formed.filter("a = 5000 and b = 5001").count() == 10
+        assert formed.count() < 20
+        assert pairs.likely_pairs(lines, 1, slice_size).count() == 1010
+        assert pairs.likely_pairs(lines, 10, slice_size, buckets=1).count() == 1010

@@ -147,6 +147,14 @@ def _(c: Context) -> DataFrame:
     return dimensions.merge_customer(c.first_load(), c.stg("stg_customers_second"), SECOND_LOAD).changes
 
 
+@query("D11_scd2_copy_on_write", f"select {CUSTOMER} from customers_merged")
+def _(c: Context) -> DataFrame:
+    store = TableStore(c.spark, c.scratch("buckets"))
+    warehouse.load_customers(store, c.stg("stg_customers_first"), FIRST_LOAD)
+    warehouse.load_customers(store, c.stg("stg_customers_second"), SECOND_LOAD)
+    return store.read("dim_customer").select(*cols(CUSTOMER))
+
+
 @query("D12_surrogate_keys", """
     select row_number() over (order by customer_id, transaction_id) as sales_key, customer_id, transaction_id
     from stg_ecom_transactions""")

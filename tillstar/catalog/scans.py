@@ -169,6 +169,17 @@ def _(c: Context) -> DataFrame:
     return c["fact_transactions"].agg(F.count(F.lit(1)).alias("row_count"))
 
 
+@query("S10_compacted_appends", "select response_id, response_type from stg_campaign_responses")
+def _(c: Context) -> DataFrame:
+    store = TableStore(c.spark, c.scratch("appends"))
+    rows = adapters.staged(c.spark, c.folder, "stg_campaign_responses").select("response_id", "response_type")
+    for part in range(8):
+        store.append(rows.filter(F.pmod(F.hash("response_id"), F.lit(8)) == part), "copy")
+    store.compact("copy", sort_by=["response_id"])
+    store.expire("copy", keep=1)
+    return store.read("copy")
+
+
 @query("S10_replace", "select response_type, count(*) as row_count from stg_campaign_responses group by response_type")
 def _(c: Context) -> DataFrame:
     store = TableStore(c.spark, c.scratch("replace"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -139,3 +139,49 @@ def scd2_merge(
     merged = dim.filter(~current).unionByName(carried).unionByName(added)
     changes = classified.groupBy("change").agg(F.count(F.lit(1)).alias("customers"))
     return Scd2Result(merged, changes)
+
+
+class Scd2Delta(NamedTuple):
+    """What a snapshot changes: ``changed`` keys, ``carried`` (stored versions with their changes), ``added`` versions, keys per label."""
+
+    changed: DataFrame
+    carried: Callable[[DataFrame], DataFrame]
+    added: DataFrame
+    changes: DataFrame
+
+
+def scd2_delta(
+    current: DataFrame,
+    staged: DataFrame,
+    as_of: dt.date,
+    *,
+    business_key: str,
+    surrogate: str,
+    highest: int,
+    tracked: Sequence[str],
+    in_place: Sequence[str],
+    first_valid_from: str,
+) -> Scd2Delta:
+    """The same merge as ``scd2_merge`` from current versions alone, for a dimension that is not written whole.
+
+    ``highest`` is the highest surrogate key in force. ``carried`` closes or updates those of the versions it is given that
+    the snapshot changes; versions of keys that are not in ``changed`` need not be given to it.
+    """
+    classified = stored_once(classify(current, staged, business_key, tracked, in_place), "changes")
+    changed = classified.filter(F.col("change") != "unchanged")
+    verdict = changed.filter(F.col("change") != "new").select(
+        F.col(business_key).alias("_id"), "change", *[F.col(c).alias(f"_new_{c}") for c in in_place])
+    closing = verdict.filter("change = 'scd2_changed'")
+    later = current.filter(F.col("valid_from") > F.lit(as_of))
+    if not later.join(closing, F.col(business_key) == F.col("_id"), "left_semi").isEmpty():
+        raise ValueError(f"a changed version starts after {as_of} and cannot end then")
+
+    def carried(versions: DataFrame) -> DataFrame:
+        return (
+            versions.join(verdict, F.col(business_key) == F.col("_id"), "left")
+            .transform(expire, as_of).transform(overwrite_in_place, in_place).select(*versions.columns))
+
+    keyed = with_keys(new_versions(classified, as_of, first_valid_from), surrogate, [business_key], highest + 1)
+    defaults = {c: F.lit(0) for c in ("lifetime_value", "total_orders", "total_spent") if c in current.columns}
+    added = keyed.withColumns(defaults).select(*[F.col(f.name).cast(f.dataType) for f in current.schema])
+    return Scd2Delta(changed, carried, added, classified.groupBy("change").agg(F.count(F.lit(1)).alias("customers")))

@@ -119,8 +119,14 @@ def with_lifetime_metrics(dim: DataFrame, fact: DataFrame) -> DataFrame:
     without sales keep what they had.
     """
     sold = fact.groupBy("customer_key").agg(
-        F.count_distinct("transaction_id").alias("_orders"), F.sum("net_amount").cast("decimal(28,2)").alias("_spent")
+        F.count_distinct("transaction_id").alias("orders"), F.sum("net_amount").cast("decimal(28,2)").alias("spent")
     )
+    return with_sales(dim, sold)
+
+
+def with_sales(dim: DataFrame, sold: DataFrame) -> DataFrame:
+    """Set order count and spend of current versions from ``sold`` (customer_key, orders, spent); others keep what they had."""
+    sold = sold.select("customer_key", F.col("orders").alias("_orders"), F.col("spent").alias("_spent"))
     joined = dim.join(sold, "customer_key", "left")
     hit = F.col("is_current") & F.col("_orders").isNotNull()
     spent = F.coalesce("_spent", F.lit(0).cast("decimal(28,2)"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -115,13 +116,12 @@ def build_transactions(
 
 
 def new_transactions(
-    fact: DataFrame, loaded: DataFrame, transactions: DataFrame, items: DataFrame, dim_customer: DataFrame,
+    start: Column | int, loaded: DataFrame, transactions: DataFrame, items: DataFrame, dim_customer: DataFrame,
     dim_product: DataFrame,
 ) -> DataFrame:
-    """Rows to append: transactions not among the ``loaded`` ids yet, as a whole. Lines that arrive for a
-    transaction already loaded are left out."""
+    """Rows to append, with keys from ``start`` on: transactions not among the ``loaded`` ids yet, as a whole. Lines that
+    arrive for a transaction already loaded are left out."""
     fresh = not_loaded(transactions, loaded, "transaction_id")
-    start = F.coalesce(fact.agg(F.max("transaction_key")).scalar(), F.lit(0)) + 1
     lines = transaction_lines(
         fresh, items, dim_customer, dim_product, position=_POSITION, only_of=fresh.select("transaction_id").distinct())
     return key_transactions(lines, start)
@@ -156,14 +156,12 @@ def response_rows(
 
 
 def build_responses(
-    responses: DataFrame, dim_customer: DataFrame, dim_campaign: DataFrame, fact: DataFrame | None = None,
-    inclusive: bool = False,
+    responses: DataFrame, dim_customer: DataFrame, dim_campaign: DataFrame, loaded: DataFrame | None = None,
+    start: Column | int = 1, inclusive: bool = False,
 ) -> DataFrame:
-    """Keyed response rows; with ``fact`` given, only responses it does not hold yet."""
-    start: Column | int = 1
-    if fact is not None:
-        responses = not_yet_in(responses, fact, ["response_id"])
-        start = F.coalesce(fact.agg(F.max("response_key")).scalar(), F.lit(0)) + 1
+    """Keyed response rows, with keys from ``start`` on; only responses not among the ``loaded`` ids, if these are given."""
+    if loaded is not None:
+        responses = not_loaded(responses, loaded, "response_id")
     rows = response_rows(responses, dim_customer, dim_campaign, inclusive)
     keyed = with_keys(rows, "response_key", ["response_id", "customer_key"], start)
     return keyed.select(*[F.col(f.name).cast(f.dataType) for f in schemas.WAREHOUSE["fact_campaign_responses"]])
@@ -199,6 +197,11 @@ def product_daily(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
         decimal_sum("net_amount").alias("total_revenue"),
         F.count_distinct("customer_key").alias("unique_customers"),
     )
+    return with_costs(daily, dim_product)
+
+
+def with_costs(daily: DataFrame, dim_product: DataFrame) -> DataFrame:
+    """Cost and profit of daily rows at the unit costs of the products."""
     cost = (F.coalesce("units_sold", F.lit(0)) * F.col("unit_cost")).cast("decimal(28,2)")
     return (
         daily.join(dim_product.select("product_key", "unit_cost"), "product_key")
@@ -232,3 +235,29 @@ def since(fact: DataFrame, day: dt.date) -> DataFrame:
     years are pruned and the rest is skipped by file statistics."""
     rows = fact.filter(F.col("transaction_date_key") >= day.year * 10000 + day.month * 100 + day.day)
     return rows.filter(F.col(YEAR) >= day.year) if YEAR in fact.columns else rows
+
+
+def months_of(fact: DataFrame) -> list[int]:
+    """Months (as yyyymm) that fact rows lie in: a few numbers, whatever the rows."""
+    month = F.floor(F.col("transaction_date_key") / 100).cast("int").alias("month")
+    return sorted(r["month"] for r in fact.select(month).distinct().collect())
+
+
+def within_months(fact: DataFrame, months: Sequence[int]) -> DataFrame:
+    """Fact rows of these months, as bounds on the stored year and date key; neighbouring months make one range."""
+    if not months:
+        return fact.limit(0)
+    ordinals = sorted({m // 100 * 12 + m % 100 - 1 for m in months})
+    ranges: list[list[int]] = []
+    for o in ordinals:
+        if ranges and ranges[-1][1] == o - 1:
+            ranges[-1][1] = o
+        else:
+            ranges.append([o, o])
+
+    def first_day(o: int) -> int:
+        return o // 12 * 10000 + (o % 12 + 1) * 100
+
+    inside = [(F.col("transaction_date_key") > first_day(a)) & (F.col("transaction_date_key") < first_day(b) + 100) for a, b in ranges]
+    rows = fact.filter(reduce(lambda x, y: x | y, inside))
+    return rows.filter(F.col(YEAR).isin(sorted({m // 100 for m in months}))) if YEAR in fact.columns else rows

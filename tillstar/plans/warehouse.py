@@ -6,12 +6,13 @@ import datetime as dt
 import time
 from collections.abc import Iterator, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar import schemas
 from tillstar.operators.keys import released_after
-from tillstar.plans import dimensions, facts
+from tillstar.plans import dimensions, facts, maintenance
+from tillstar.sources.ledger import IdLedger
 from tillstar.sources.tables import TableStore
 
 # The date dimension holds one row per day of this range at least, and of all years with staged facts.
@@ -71,12 +72,8 @@ def load_campaigns(store: TableStore, staged: DataFrame, update: bool = False) -
 
 def load_customers(store: TableStore, staged: DataFrame, as_of: dt.date) -> dict[str, int]:
     """Merge a customer snapshot; returns keys per change label."""
-    known = store.exists("dim_customer")
-    before = store.read("dim_customer") if known else dimensions.empty(store.spark, "dim_customer")
     with released_after(store.spark):
-        merged, changes = dimensions.merge_customer(before, staged, as_of)
-        counts = {row["change"]: row["customers"] for row in changes.collect()}  # at most four rows
-        store.replace(merged, "dim_customer")
+        counts = maintenance.merge_customers(store, staged, as_of)
     return {
         "customers_new": counts.get("new", 0),
         "customers_updated": counts.get("scd2_changed", 0),
@@ -94,21 +91,15 @@ def load_dimensions(store: TableStore, staged: Mapping[str, DataFrame], as_of: d
     return counts | load_customers(store, staged["stg_crm_customers"], as_of)
 
 
-def loaded_ids(store: TableStore, fact: str, key: str) -> DataFrame:
-    """Distinct ``key`` values of a fact, from a narrow list that is kept beside it.
+def loaded_ids(store: TableStore, fact: str, key: str, batch: DataFrame) -> DataFrame:
+    """Ids of a fact among which all that a batch shares with it are, read from a list that is kept beside the fact."""
+    return IdLedger(store, fact, key).candidates(batch)
 
-    The list names the batch each id came from; batches it does not know yet, after an append or a
-    crash right after one, are added from the fact. So it always covers what the fact shows.
-    """
-    ledger = f"{fact}_ids"
-    known: set[str] = set()
-    if store.exists(ledger):
-        known = {r["batch"] for r in store.read(ledger).select("batch").distinct().collect()}  # one per load
-    for batch in store.batches(fact):
-        if batch not in known:
-            store.append(store.read(fact, batches=[batch]).select(key).distinct().withColumn("batch", F.lit(batch)), ledger)
-    # A batch without rows leaves none in the list and is looked at again.
-    return store.read(ledger).select(key)
+
+def _next_key(store: TableStore, fact: str, key: str) -> Column | int:
+    """The key after the highest one, from the manifest where all parts note theirs."""
+    noted = store.highest(fact, key)
+    return noted + 1 if noted is not None else F.coalesce(store.read(fact).agg(F.max(key)).scalar(), F.lit(0)) + 1
 
 
 def load_transactions(store: TableStore, transactions: DataFrame, items: DataFrame) -> int:
@@ -119,22 +110,27 @@ def load_transactions(store: TableStore, transactions: DataFrame, items: DataFra
 
 
 def _load_transactions(store: TableStore, transactions: DataFrame, items: DataFrame) -> int:
+    fact, key = "fact_transactions", "transaction_key"
     customer, product = store.read("dim_customer"), store.read("dim_product")
-    if store.exists("fact_transactions"):
+    if store.exists(fact):
         rows = facts.new_transactions(
-            store.read("fact_transactions"), loaded_ids(store, "fact_transactions", "transaction_id"), transactions, items,
+            _next_key(store, fact, key), loaded_ids(store, fact, "transaction_id", transactions), transactions, items,
             customer, product)
     else:
         rows = facts.build_transactions(transactions, items, customer, product)
-    return store.append(rows, "fact_transactions", [facts.YEAR])
+    return store.append(rows, fact, [facts.YEAR], highest=[key])
 
 
 def load_responses(store: TableStore, responses: DataFrame) -> int:
+    """Append responses the fact does not hold; returns the rows added."""
     cover_dates(store, responses, "response_date")
-    known = store.read("fact_campaign_responses") if store.exists("fact_campaign_responses") else None
+    fact, key = "fact_campaign_responses", "response_key"
     with released_after(store.spark):
-        rows = facts.build_responses(responses, store.read("dim_customer"), store.read("dim_campaign"), known)
-        return store.append(rows, "fact_campaign_responses")
+        more = {}
+        if store.exists(fact):
+            more = {"loaded": loaded_ids(store, fact, "response_id", responses), "start": _next_key(store, fact, key)}
+        rows = facts.build_responses(responses, store.read("dim_customer"), store.read("dim_campaign"), **more)
+        return store.append(rows, fact, highest=[key])
 
 
 def load_facts(store: TableStore, staged: Mapping[str, DataFrame]) -> dict[str, int]:
@@ -147,20 +143,14 @@ def load_facts(store: TableStore, staged: Mapping[str, DataFrame]) -> dict[str,
 
 
 def refresh_metrics(store: TableStore) -> int:
-    updated = dimensions.with_lifetime_metrics(store.read("dim_customer"), store.read("fact_transactions"))
-    return store.replace(updated, "dim_customer")
+    """Lifetime metrics of customers with new sales; returns the customer versions."""
+    with released_after(store.spark):
+        return maintenance.refresh_metrics(store)
 
 
 def build_aggregates(store: TableStore) -> dict[str, int]:
-    fact = store.read("fact_transactions")
-    return {
-        "agg_customer_monthly": store.replace(
-            facts.customer_monthly(fact), "agg_customer_monthly"
-        ),
-        "agg_product_daily": store.replace(
-            facts.product_daily(fact, store.read("dim_product")), "agg_product_daily"
-        ),
-    }
+    """Both aggregates, months with new sales only once they exist; returns their rows."""
+    return maintenance.build_aggregates(store)
 
 
 def full_load(

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Set on sessions this package creates itself (tests, bench). A session handed in by a
@@ -56,6 +58,49 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def child_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, none if it is not there."""
+    path, files = _file_system(spark, folder)
+    try:
+        return [status.getPath().getName() for status in files.listStatus(path)]
+    except Py4JJavaError as failure:
+        if "FileNotFoundException" in str(failure.java_exception):
+            return []
+        raise
+
+
+def file_text(spark: SparkSession, file: str) -> str | None:
+    """The text of a small file, None if it is not there."""
+    path, files = _file_system(spark, file)
+    if not files.exists(path):
+        return None
+    stream = files.open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish_text(spark: SparkSession, file: str, text: str) -> bool:
+    """Let a small file appear whole under a new name; False if that name is taken."""
+    path, files = _file_system(spark, file)
+    draft, _ = _file_system(spark, f"{file}.{uuid.uuid4().hex}.draft")
+    out = files.create(draft, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not files.exists(path) and files.rename(draft, path):
+        return True
+    files.delete(draft, False)
+    return False
+
+
 def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a glob, on whatever file system it names."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)

@@ -88,7 +88,7 @@ def load_with_pending(
     with released_after(store.spark):
         batch = stored_once(latest_load(batch, key), pending)
         added = load(batch)
-        left = facts.not_loaded(batch, warehouse.loaded_ids(store, fact, key), key) if store.exists(fact) else batch
+        left = facts.not_loaded(batch, warehouse.loaded_ids(store, fact, key, batch), key) if store.exists(fact) else batch
         store.replace(left, pending)
     return added
 
