@@ -10,8 +10,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,14 +23,27 @@ from tillstar.operators.keys import with_keys
 
 CAPACITY = 2048
 END_ID = 0
-# Distinct words whose ids a Python worker remembers; beyond it, memory is emptied and filled anew.
-REMEMBERED_WORDS = 700_000
+# Distinct words whose ids a Python worker remembers; beyond it, memory is emptied before the next batch.
+REMEMBERED_WORDS = 1_000_000
 
 # A run of symbols after a letter or digit is a token group of its own, as is what stands before it.
 # The apostrophe is left out: with a letter after it, it opens a group.
 _TAIL = re.compile(rb"^(.*[0-9a-z])([!-&(-/:-@\[-`{-~]+)$", re.S)
 
 
+class _Numbers(dict):
+    """Numbers of words in the order in which they are first looked up; ``new`` has those not learned yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
 class WordIds:
     """Token ids of whole texts, put together from the ids of their words.
 
@@ -49,81 +62,113 @@ class WordIds:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known = _Numbers()
         self.ids = np.empty(1 << 16, np.uint32)
         self.used = 0
-        self.starts, self.sizes = array("q"), array("q")
+        # Where the ids of each word begin, and how many it has.
+        self.starts, self.sizes = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
 
-    def _keep(self, word: bytes, ids: np.ndarray | list[int]) -> None:
+    def _keep(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """The ids of words, one word after the other."""
         end = self.used + len(ids)
         if end > len(self.ids):
             self.ids = np.resize(self.ids, max(end, 2 * len(self.ids)))
         self.ids[self.used:end] = ids
-        self.known[word] = len(self.starts)
-        self.starts.append(self.used)
-        self.sizes.append(len(ids))
+        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        if len(self.known) > len(self.starts):
+            more = max(len(self.known), 2 * len(self.starts))
+            self.starts, self.sizes = np.resize(self.starts, more), np.resize(self.sizes, more)
+        self.starts[at] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[at] = sizes
         self.used = end
 
-    def _of(self, word: bytes) -> np.ndarray:
-        at = self.known[word]
-        return self.ids[self.starts[at]:self.starts[at] + self.sizes[at]]
-
-    def _learn(self, words: set[bytes]) -> None:
-        split = {w: m.groups() for w in words if (m := _TAIL.match(w)) and b"<|" not in w}
-        whole = (words - split.keys()) | {part for parts in split.values() for part in parts}
-        new = [(w, w.decode("utf-8", "replace")) for w in whole if w not in self.known]
-        letters = [(w, text) for w, text in new if text.isalpha()]
+    def _gather(self, at: np.ndarray) -> np.ndarray:
+        """The ids of words given by number, one after the other."""
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes)
+        return self.ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[at] - (ends - sizes), sizes)]
+
+    def _learn(self) -> None:
+        """Encode the words that were looked up for the first time."""
+        first = len(self.known) - len(self.known.new)
+        split, whole = [], []
+        for word in self.known.new:
+            m = _TAIL.match(word)
+            if m and b"<|" not in word:
+                split.append((word, *m.groups()))
+            else:
+                whole.append(word)
+        for _, head, tail in split:
+            for part in (head, tail):
+                if self.known[part] >= first:
+                    whole.append(part)  # maybe once more than needed
+        self.known.new = []
+        whole = list(dict.fromkeys(whole))
+        letters, rest = [], []
+        for word in whole:
+            text = word.decode("utf-8", "replace")
+            (letters if text.isalpha() else rest).append((word, text))
         for at in range(0, len(letters), 1000):
-            self._learn_letters(letters[at:at + 1000])
-        rest = [(w, text) for w, text in new if w not in self.known]
-        for (word, _), coded in zip(rest, self._encode([text for _, text in rest])):
-            self._keep(word, coded.ids)
-        for word, (head, tail) in split.items():
-            if word not in self.known:
-                self._keep(word, np.concatenate([self._of(head), self._of(tail)]))
+            rest += self._learn_letters(letters[at:at + 1000])
+        self._learn_each(rest)
+        if split:
+            parts = [part for _, head, tail in split for part in (head, tail)]
+            at = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
+            self._keep([word for word, _, _ in split], self._gather(at), self.sizes[at].reshape(-1, 2).sum(1))
 
     def _encode(self, texts: list[str]) -> list:
         return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
 
-    def _learn_letters(self, words: list[tuple[bytes, str]]) -> None:
-        """Words of letters only are one token group each, so many are encoded as one text."""
+    def _learn_each(self, words: list[tuple[bytes, str]]) -> None:
+        if words:
+            ids = [coded.ids for coded in self._encode([text for _, text in words])]
+            self._keep([word for word, _ in words], np.fromiter(chain.from_iterable(ids), np.uint32),
+                       np.fromiter(map(len, ids), np.int64, len(ids)))
+
+    def _learn_letters(self, words: list[tuple[bytes, str]]) -> list[tuple[bytes, str]]:
+        """Words of letters only are one token group each, so many are encoded as one text; returns those left to be encoded one by one."""
         ids = np.asarray(self._encode([" ".join(text for _, text in words)])[0].ids, np.uint32)
         ends = np.flatnonzero(self.closes[ids]) + 1
-        if len(ends) == len(words) and ends[-1] == len(ids):  # else they are encoded one by one
-            for (word, _), begin, end in zip(words, [0, *ends[:-1].tolist()], ends.tolist()):
-                self._keep(word, ids[begin:end])
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            return words
+        self._keep([word for word, _ in words], ids, np.diff(ends, prepend=0))
+        return []
 
     def texts(self, texts: list[bytes | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, each closed by ``end_id``, and where each text ends."""
+        if len(self.known) > REMEMBERED_WORDS:
+            self.forget()
         words = []
         for text in texts:
             text = text or b""
             words.append(text.lower().split() if b"<|" not in text
                          else [w if b"<|" in w else w.lower() for w in text.split()])
-        new = set().union(*words) - self.known.keys()
-        if new:
-            if len(self.known) + len(new) > REMEMBERED_WORDS:
-                self.forget()
-                new = set().union(*words)
-            self._learn(new)
         counts = np.fromiter(map(len, words), np.int64, len(words))
-        at = np.fromiter((self.known[w] for ws in words for w in ws), np.int64, int(counts.sum()))
-        sizes = np.frombuffer(self.sizes, np.int64)[at] if len(at) else at
-        starts = np.frombuffer(self.starts, np.int64)[at] if len(at) else at
-        ends = np.cumsum(sizes)
-        source = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
-        flat = self.ids[source]
-        text_ends = np.concatenate([[0], ends])[np.cumsum(counts)]
-        closed = np.insert(flat, text_ends, np.uint32(end_id))
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
+        if self.known.new:
+            self._learn()
+        text_ends = np.concatenate([[0], np.cumsum(self.sizes[at])])[np.cumsum(counts)]
+        closed = np.insert(self._gather(at), text_ends, np.uint32(end_id))
         return closed, text_ends + np.arange(1, len(texts) + 1)
 
 
+# One for each Python worker, which serves many tasks.
+_CODERS: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    if path not in _CODERS:
+        _CODERS.clear()
+        _CODERS[path] = WordIds(path)
+    return _CODERS[path]
+
+
 def _cut(tokenizer_path: str, capacity: int, end_id: int):
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                         ("ids_crc32", pa.int64())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordIds(tokenizer_path)
+        coder = word_ids(tokenizer_path)
         for batch in batches:
             if not batch.num_rows:
                 continue
