@@ -52,6 +52,19 @@ def text_rows(docs: DataFrame, *columns: str | Column) -> DataFrame:
     return with_small_batches(docs.select(*columns, F.col("text").cast("binary").alias("text")))
 
 
+def one_row_each(rows: DataFrame) -> DataFrame:
+    """``doc_id, text`` with one row for each doc_id: of several texts the smallest, nulls last.
+
+    Only identifiers are shuffled to find the repeated ones; texts are where an identifier is repeated, and there copies are combined on the
+    map side.
+    """
+    twice = stored(rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id"), "repeated")
+    if twice.isEmpty():
+        return rows
+    once = rows.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    return rows.join(twice, "doc_id", "left_anti").unionByName(once)
+
+
 def fold(id_column: str, parts: int) -> Column:
     """crc32 of the identifier as text, modulo ``parts``; a missing identifier counts as 0."""
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % parts, F.lit(0)).cast("int")
