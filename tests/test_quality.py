@@ -93,3 +93,41 @@ def test_advice(spark):
     got = rows(reports.recommendations(cards), "report_date", "position", "recommendation")
     assert got == [("a", 0, reports.ADVICE_FAILED), ("a", 1, reports.ADVICE_INCOMPLETE), ("a", 2, reports.ADVICE_GOOD),
                    ("b", 0, reports.ADVICE_EXCELLENT), ("c", 0, reports.ADVICE_POOR)]
+
+
+class Seen(dict):
+    """Tables that count how often each is asked for."""
+
+    def __init__(self, tables):
+        super().__init__({n: tables[n] for n in ("dim_customer", "dim_product", "dim_date", "fact_transactions")})
+        self.asked = []
+
+    def __getitem__(self, name):
+        self.asked.append(name)
+        return super().__getitem__(name)
+
+
+def test_all_rules_of_the_fact_share_one_scan_and_count_as_one_by_one(ctx):
+    due = list(enumerate(RULES, start=1))
+    for as_of in (DAY, dt.date(1994, 1, 1), dt.date(2040, 1, 1)):
+        tables = Seen(ctx.tables)
+        together = engine.count_violations(tables, due, as_of)
+        assert tables.asked.count("fact_transactions") == 1
+        got = {r["rule_id"]: (r["total"], r["failed"]) for r in together.collect()}
+        assert len(got) == 15
+        for i, rule in due:
+            assert got[i] == (ctx[rule.table].count(), rule.violations(ctx.tables, as_of).count()), rule.name
+        alone = {r["rule_id"]: (r["total"], r["failed"]) for one in due for r in engine.count_violations(tables, [one], as_of).collect()}
+        assert alone == got
+
+
+def test_missing_keys_and_empty_facts_in_the_shared_scan(spark, ctx):
+    fact = ctx["fact_transactions"]
+    damaged = fact.withColumn("customer_key", F.when(F.col("transaction_key") % 3 > 0, F.col("customer_key"))).withColumn(
+        "product_key", F.when(F.col("transaction_key") % 2 > 0, F.lit(-5)).otherwise(F.col("product_key")))
+    for rows_of in (damaged, fact.limit(0)):
+        tables = {n: ctx[n] for n in ("dim_customer", "dim_product", "dim_date")} | {"fact_transactions": rows_of}
+        got = {r["rule_id"]: (r["total"], r["failed"]) for r in engine.count_violations(tables, list(enumerate(RULES, 1)), DAY).collect()}
+        n = rows_of.count()
+        assert got[11] == (n, rows_of.filter("customer_key is null").count()) and got[12] == (n, rows_of.filter("product_key = -5").count())
+        assert got[9][1] == RULES[8].violations(tables, DAY).count() and got[5][0] == n

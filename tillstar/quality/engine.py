@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillstar.functions import clipped, percent, rounded, row_count
-from tillstar.operators.keys import with_keys
+from tillstar.operators.keys import stored_once, with_keys
 from tillstar.operators.rows import keep_latest, upsert
 from tillstar.quality.rules import CATEGORIES, RULES, Rule, Tables
 from tillstar.sources.tables import TableStore
@@ -82,34 +82,90 @@ def register_rules(
 
 
 def count_violations(tables: Tables, rules: Sequence[tuple[int, Rule]], as_of: dt.date) -> DataFrame:
-    """(rule_id, total, failed) for many rules in one job.
+    """(rule_id, total, failed) for many rules.
 
-    All single-row rules of a table are counted by one scan of it. Totals are those of the
+    All rules of a table that look at single rows, at a peak or at groups of it are counted by one scan. Totals are those of the
     whole target table.
     """
     parts = []
-    by_table: dict[str, list[tuple[int, Rule]]] = {}
+    scans: dict[str, list[tuple[int, Rule]]] = {}
     for rule_id, rule in rules:
-        if rule.condition is not None:
-            by_table.setdefault(rule.table, []).append((rule_id, rule))
-            continue
-        total = tables[rule.table].agg(row_count()).scalar()
-        parts.append(
-            rule.violation_count(tables, as_of).select(
-                F.lit(rule_id).cast("bigint").alias("rule_id"), total.alias("total"), "failed"
-            )
-        )
-    for table, group in by_table.items():
-        counts = [F.count_if(F.expr(rule.condition)).alias(f"_{rule_id}") for rule_id, rule in group]
-        cells = [
-            F.struct(F.lit(i).cast("bigint").alias("rule_id"), F.col("_total").alias("total"), F.col(f"_{i}").alias("failed"))
-            for i, _ in group
-        ]
-        counted = tables[table].agg(row_count().alias("_total"), *counts)
-        parts.append(counted.select(F.inline(F.array(*cells))))
+        if rule.grouped is not None:
+            scans.setdefault(rule.grouped.table, []).append((rule_id, rule))
+        elif rule.condition is not None or rule.peak is not None:
+            scans.setdefault(rule.table, []).append((rule_id, rule))
+        else:
+            found = rule.violations(tables, as_of).agg(F.count(F.lit(1)).alias("failed"))
+            parts.append(_counted(rule_id, tables[rule.table].agg(row_count()).scalar(), found))
+    for table, own in scans.items():
+        parts += _count_in_one_scan(tables, table, own, as_of)
     return _union(parts)
 
 
+def _counted(rule_id: int, total: Column, found: DataFrame) -> DataFrame:
+    return found.select(F.lit(rule_id).cast("bigint").alias("rule_id"), total.alias("total"), "failed")
+
+
+def _count_in_one_scan(tables: Tables, table: str, rules: Sequence[tuple[int, Rule]], as_of: dt.date) -> list[DataFrame]:
+    """Counts of rules from one scan of ``table``.
+
+    Without groups this is one aggregate. With groups, a row is added to the group of each key in turn, combined with others before
+    the shuffle; the first key's groups also carry what single rows and peaks need, so sums over them are
+    those of the table. The groups, no more than there are key values, are stored and read by each rule.
+    """
+    single = [(i, r) for i, r in rules if r.grouped is None]
+    grouped = [(i, r) for i, r in rules if r.grouped is not None]
+    row = {"_rows": (F.lit(1).cast("bigint"), F.sum)}
+    for i, r in single:
+        if r.condition is not None:
+            row[f"_{i}"] = (F.when(r.predicate(as_of), 1).otherwise(0).cast("bigint"), F.sum)
+        else:
+            row[f"_{i}"] = (F.expr(r.peak), F.max)
+    df = tables[table]
+    keys = list(dict.fromkeys(r.grouped.key for _, r in grouped))
+    if keys:
+        sums = {(k, n): f"_sum{at}_{n}" for at, k in enumerate(keys) for _, r in grouped if r.grouped.key == k for n in r.grouped.sums}
+        exact = {name: F.expr(next(r.grouped.sums[n] for _, r in grouped if r.grouped.key == k and n in r.grouped.sums))
+                 for (k, n), name in sums.items()}
+        # one value a column for the scan: conditions are evaluated once, not once for each key
+        values = df.select(
+            *[F.col(k).cast("bigint").alias(f"_key{at}") for at, k in enumerate(keys)],
+            *[c.alias(n) for n, (c, _) in row.items()], *[c.alias(n) for n, c in exact.items()])
+        types = {f.name: f.dataType for f in values.schema}
+
+        def arm(at: int) -> Column:
+            own = {n for (k, _), n in sums.items() if k == keys[at]} | ({*row} if at == 0 else {"_rows"})
+            cells = [(F.col(n) if n in own else F.lit(None).cast(types[n])).alias(n) for n in (*row, *exact)]
+            return F.struct(F.lit(at).alias("_of"), F.col(f"_key{at}").alias("_key"), *cells)
+
+        counted = values.select(F.inline(F.array(*[arm(at) for at in range(len(keys))]))).groupBy("_of", "_key").agg(
+            *[how(n).alias(n) for n, (_, how) in row.items()], *[F.sum(n).cast("decimal(28,2)").alias(n) for n in exact])
+        groups = stored_once(counted, "rule-groups")
+        whole = groups.filter("_of = 0").agg(*[
+            (F.coalesce(F.sum(n), F.lit(0)) if how is F.sum else how(n)).alias(n) for n, (_, how) in row.items()])
+    else:
+        whole = df.agg(*[(F.coalesce(how(c), F.lit(0)) if how is F.sum else how(c)).alias(n) for n, (c, how) in row.items()])
+
+    def failed(i: int, r: Rule) -> Column:
+        if r.condition is not None:
+            return F.col(f"_{i}")
+        return F.when(F.coalesce(r.peak_is_bad(F.col(f"_{i}"), as_of), F.lit(False)), 1).otherwise(0).cast("bigint")
+
+    parts = []
+    if single:
+        cells = [F.struct(F.lit(i).cast("bigint").alias("rule_id"), F.col("_rows").alias("total"), failed(i, r).alias("failed"))
+                 for i, r in single]
+        parts.append(whole.select(F.inline(F.array(*cells))))
+    for i, r in grouped:
+        at = keys.index(r.grouped.key)
+        mine = groups.filter(F.col("_of") == at).select(
+            F.col("_key").alias("key"), F.col("_rows").alias("rows"),
+            *[F.col(sums[r.grouped.key, n]).alias(n) for n in r.grouped.sums])
+        total = (whole.select("_rows") if r.table == table else tables[r.table].agg(row_count())).scalar()
+        parts.append(_counted(i, total, r.grouped.judge(mine, tables)))
+    return parts
+
+
 def _measured(spark: SparkSession, tables: Tables, rules: Sequence[tuple[int, Rule]], as_of: dt.date) -> list[tuple]:
     """Counts as driver rows, one per rule, with the run time of the job they were counted in. If
     the joint job fails by a rule's fault, the rules are run one by one, so that a broken rule ends as an error of its own."""
@@ -193,7 +249,7 @@ def violation_records(tables: Tables, rules: Sequence[tuple[int, Rule]], as_of:
     for table, group in by_table.items():
         found = F.array(*[
             F.when(
-                F.expr(rule.condition), F.struct(F.lit(i).cast("bigint").alias("rule_id"), rule.as_struct().alias("v"))
+                rule.predicate(as_of), F.struct(F.lit(i).cast("bigint").alias("rule_id"), rule.as_struct().alias("v"))
             )
             for i, rule in group
         ])

@@ -10,20 +10,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.operators.rows import not_yet_in
-from tillstar.plans.validation import orphans
 
 Tables = Mapping[str, DataFrame]
 COLUMNS = ("record_identifier", "column_name", "failed_value", "expected_value")
 
 
+@dataclass(frozen=True)
+class Grouped:
+    """What a rule counts from: rows of a table for each value of a whole-number key, with sums.
+
+    ``judge`` gets the groups (``key``, ``rows`` and a column for each of ``sums``, SQL expressions whose totals are
+    ``decimal(28,2)``) and returns one row with the number of violations as ``failed``.
+    """
+
+    table: str
+    key: str
+    judge: Callable[[DataFrame, Tables], DataFrame]
+    sums: Mapping[str, str] = field(default_factory=dict)
+
+
 @dataclass(frozen=True)
 class Rule:
     """One rule over one table.
 
     A rule that looks at single rows is given by ``condition``, a SQL predicate that is true
-    for violating rows, and can share a scan with other rules of its table. Any other rule
-    brings a function from the tables to its violations, and may bring a cheaper one,
-    ``tally``, to their number (column ``failed``).
+    for violating rows (``{today}`` stands for the date key of the run's day). Any other rule
+    brings a function ``find`` from the tables to its violations, and may say how to count them without it: by ``grouped``, or by
+    ``peak``, the highest value of an expression over the table and what is wrong with it. Rules with a condition, a peak or groups of
+    one table are counted by one scan of it.
     """
 
     name: str
@@ -39,9 +53,14 @@ class Rule:
     failed: str = "cast(null as string)"
     expected: str = "''"
     find: Callable[[Tables, dt.date], DataFrame] | None = None
-    tally: Callable[[Tables, dt.date], DataFrame] | None = None
+    grouped: Grouped | None = None
+    peak: str | None = None
+    peak_is_bad: Callable[[Column, dt.date], Column] | None = None
     parameters: Mapping[str, str] = field(default_factory=dict)
 
+    def predicate(self, as_of: dt.date) -> Column:
+        return F.expr(self.condition.replace("{today}", f"{as_of:%Y%m%d}"))
+
     def as_struct(self) -> Column:
         """The violation record of a row that meets ``condition``."""
         return F.struct(
@@ -54,12 +73,7 @@ class Rule:
     def violations(self, tables: Tables, as_of: dt.date) -> DataFrame:
         if self.find is not None:
             return self.find(tables, as_of)
-        return tables[self.table].filter(F.expr(self.condition)).select(self.as_struct().alias("v")).select("v.*")
-
-    def violation_count(self, tables: Tables, as_of: dt.date) -> DataFrame:
-        if self.tally is not None:
-            return self.tally(tables, as_of)
-        return self.violations(tables, as_of).agg(F.count(F.lit(1)).alias("failed"))
+        return tables[self.table].filter(self.predicate(as_of)).select(self.as_struct().alias("v")).select("v.*")
 
 
 def _records(df: DataFrame, identifier: Column | str, column: str, failed: Column | str, expected: Column) -> DataFrame:
@@ -122,14 +136,21 @@ def _missing_reference(column: str, dim: str) -> Callable[[Tables, dt.date], Dat
     return find
 
 
-def _count_missing(column: str, dim: str) -> Callable[[Tables, dt.date], DataFrame]:
+def _references(column: str, dim: str) -> Grouped:
     # counts per reference first: the join then meets each reference once, however hot
-    def tally(tables: Tables, as_of: dt.date) -> DataFrame:
-        return orphans(tables["fact_transactions"], column, tables[dim], column).withColumnRenamed(
-            "orphan_count", "failed"
-        )
+    def judge(groups: DataFrame, tables: Tables) -> DataFrame:
+        known = tables[dim].select(F.col(column).cast("bigint").alias("key"))
+        return not_yet_in(groups, known, ["key"]).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("failed"))
+
+    return Grouped("fact_transactions", column, judge)
+
 
-    return tally
+def _mismatches(sold: DataFrame, tables: Tables) -> DataFrame:
+    """Current customers whose lifetime value is not what was ``sold`` (customer_key, _sold) to them."""
+    expected = F.coalesce(F.col("_sold"), F.lit(0).cast("decimal(28,2)"))
+    customers = tables["dim_customer"].filter("is_current").select("customer_key", "lifetime_value")
+    return customers.join(sold, "customer_key", "left").withColumn("_expected", expected).filter(
+        F.abs(F.col("lifetime_value") - F.col("_expected")) > F.lit(0.01).cast("decimal(3,2)"))
 
 
 def _lifetime_mismatch(tables: Tables, as_of: dt.date) -> DataFrame:
@@ -137,31 +158,30 @@ def _lifetime_mismatch(tables: Tables, as_of: dt.date) -> DataFrame:
     sold = tables["fact_transactions"].groupBy("customer_key").agg(
         F.sum("net_amount").cast("decimal(28,2)").alias("_sold")
     )
-    expected = F.coalesce(F.col("_sold"), F.lit(0).cast("decimal(28,2)"))
-    customers = tables["dim_customer"].filter("is_current").select("customer_key", "lifetime_value")
-    off = customers.join(sold, "customer_key", "left").filter(F.abs(F.col("lifetime_value") - expected) > F.lit(0.01).cast("decimal(3,2)"))
-    return _records(off, "customer_key", "lifetime_value", "lifetime_value", expected)
+    off = _mismatches(sold, tables)
+    return _records(off, "customer_key", "lifetime_value", "lifetime_value", F.col("_expected"))
 
 
-def _future_dates(tables: Tables, as_of: dt.date) -> DataFrame:
-    # the calendar has one row per day of a fixed range
-    later = tables["dim_date"].filter(F.col("date_actual") > F.lit(as_of)).select(
-        F.col("date_key").alias("transaction_date_key")
-    )
-    found = tables["fact_transactions"].select("transaction_key", "transaction_date_key").join(
-        F.broadcast(later), "transaction_date_key", "left_semi"
-    )
-    return _records(found, "transaction_key", "transaction_date_key", "transaction_date_key", F.lit("<= TODAY"))
+def _lifetime_groups() -> Grouped:
+    def judge(groups: DataFrame, tables: Tables) -> DataFrame:
+        sold = groups.select(F.col("key").alias("customer_key"), F.col("sold").alias("_sold"))
+        return _mismatches(sold, tables).agg(F.count(F.lit(1)).alias("failed"))
+
+    return Grouped("fact_transactions", "customer_key", judge, {"sold": "net_amount"})
+
+
+def _day_of(key: Column) -> Column:
+    return F.to_date(key.cast("string"), "yyyyMMdd")
+
+
+def _too_old(last: Column, as_of: dt.date) -> Column:
+    return _day_of(last) < F.lit(as_of - dt.timedelta(days=7))
 
 
 def _stale(tables: Tables, as_of: dt.date) -> DataFrame:
-    days = tables["dim_date"].select(F.col("date_key").alias("transaction_date_key"), "date_actual")
-    used = tables["fact_transactions"].select("transaction_date_key").distinct()
-    limit = as_of - dt.timedelta(days=7)
-    late = used.join(F.broadcast(days), "transaction_date_key").agg(F.max("date_actual").alias("_last")).filter(
-        F.col("_last") < F.lit(limit)
-    )
-    return _records(late, F.lit(0), "transaction_date", "_last", F.lit(limit))
+    last = tables["fact_transactions"].agg(F.max("transaction_date_key").alias("_key"))
+    late = last.filter(_too_old(F.col("_key"), as_of)).withColumn("_last", _day_of(F.col("_key")))
+    return _records(late, F.lit(0), "transaction_date", "_last", F.lit(as_of - dt.timedelta(days=7)))
 
 
 # Names, descriptions, categories, severities, thresholds and patterns.
@@ -193,7 +213,7 @@ RULES: tuple[Rule, ...] = (
     unique("dim_product", "product_key", "product_id",
            name="Product ID Unique", description="Product ID must be unique",
            category="Uniqueness", severity="CRITICAL", threshold=0.0),
-    custom("dim_customer", "lifetime_value", _lifetime_mismatch,
+    custom("dim_customer", "lifetime_value", _lifetime_mismatch, grouped=_lifetime_groups(),
            name="Customer Lifetime Value Consistency",
            description="Customer lifetime_value should equal sum of transactions",
            category="Consistency", severity="WARNING", threshold=1.0),
@@ -205,20 +225,21 @@ RULES: tuple[Rule, ...] = (
               description="Line total should equal quantity * unit_price - discount",
               category="Consistency", severity="CRITICAL", threshold=0.1),
     custom("fact_transactions", "customer_key", _missing_reference("customer_key", "dim_customer"),
-           tally=_count_missing("customer_key", "dim_customer"),
+           grouped=_references("customer_key", "dim_customer"),
            name="Transaction Customer FK Valid", description="All transactions must have valid customer reference",
            category="Integrity", severity="CRITICAL", threshold=0.0),
     custom("fact_transactions", "product_key", _missing_reference("product_key", "dim_product"),
-           tally=_count_missing("product_key", "dim_product"),
+           grouped=_references("product_key", "dim_product"),
            name="Transaction Product FK Valid", description="All transactions must have valid product reference",
            category="Integrity", severity="CRITICAL", threshold=0.0),
     pattern("dim_customer", "customer_key", "email", EMAIL_PATTERN, "valid email format", "is_current",
             name="Email Format Valid", description="Email addresses must follow standard format",
             category="Validity", severity="WARNING", threshold=2.0),
-    custom("fact_transactions", "transaction_date_key", _future_dates,
-           name="Transaction Date Valid", description="Transaction dates must not be in the future",
-           category="Validity", severity="CRITICAL", threshold=0.0),
-    custom("fact_transactions", "created_date", _stale,
+    row_check("fact_transactions", "transaction_key", "transaction_date_key", "transaction_date_key > {today}",
+              "transaction_date_key", "'<= TODAY'",
+                 name="Transaction Date Valid", description="Transaction dates must not be in the future",
+              category="Validity", severity="CRITICAL", threshold=0.0),
+    custom("fact_transactions", "created_date", _stale, peak="transaction_date_key", peak_is_bad=_too_old,
            name="Recent Data Available", description="Transactions should exist within last 7 days",
            category="Timeliness", severity="WARNING", threshold=0.0),
 )
