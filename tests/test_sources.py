@@ -138,3 +138,70 @@ def test_profile_keeps_the_digits_of_doubles(spark):
     df = spark.createDataFrame([(0.00001,), (0.00003,)], "x double")
     (r,) = profile(df, "t", dt.date(2001, 1, 1)).collect()
     assert abs(r["avg_value"] - 0.00002) < 1e-12
+
+
+def _awkward_csv(rng, rows):
+    """Records with quotes, doubled quotes, commas, line breaks, carriage returns and quotes within plain fields."""
+    def field():
+        kind = rng.randrange(7)
+        text = "".join(rng.choice('ab ,"\nxyé') for _ in range(rng.randrange(9)))
+        if kind == 0:
+            return ""
+        if kind == 1:
+            return '"' + text.replace('"', '""') + '"'
+        if kind == 2:
+            return '"' + ("line\n" * rng.randrange(6)) + '"'
+        if kind == 3:
+            return rng.choice('abc') + rng.choice(['12" vinyl', 'x"y"z', "plain"])
+        if kind == 4:
+            return '"""' + text.replace('"', '""') + '"""'
+        return rng.choice(["one", "two words", "3.5"])
+    return ["c1,c2,c3", *[",".join(field() for _ in range(3)) for _ in range(rows)]]
+
+
+def test_records_of_many_splits_are_those_of_one_reader(spark, tmp_path):
+    import random
+
+    from tillstar.sources.records import breaks_in_quotes, records
+
+    rng, before = random.Random(4), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    options = {"quote": '"', "escape": '"'}
+    try:
+        for trial, split in enumerate((64, 200, 1000, 10_000_000)):
+            path = tmp_path / f"t{trial}.csv"
+            path.write_text("\n".join(_awkward_csv(rng, 400)) + "\n", newline="")
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+            plain = spark.read.options(header=True, multiLine=True, **options).csv(str(path))
+            want = [tuple(r) for r in plain.collect()]
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+            got = records(spark, str(path))
+            if split < 1000:
+                assert got.select("file").rdd.getNumPartitions() > 1 and spark.read.text(str(path)).rdd.getNumPartitions() > 4
+            parsed = got.select("number", F.from_csv("record", "c1 string, c2 string, c3 string", options).alias("r")).orderBy("number")
+            have = [tuple(r.r) for r in parsed.collect()]
+            assert have[0] == ("c1", "c2", "c3") and have[1:] == want
+            assert [r.number for r in parsed.collect()] == sorted({r.number for r in parsed.collect()})
+            assert breaks_in_quotes(spark, str(path))
+        plain_file = tmp_path / "plain.csv"
+        plain_file.write_text('a,b\n1,"x, y"\n2,12" vinyl\n"3","say ""hi"""\n', newline="")
+        assert not breaks_in_quotes(spark, str(plain_file))
+        assert [r.record for r in records(spark, str(plain_file)).orderBy("number").collect()] == plain_file.read_text().splitlines()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_file_with_line_breaks_is_read_by_several_tasks(spark, tmp_path):
+    names = schemas.SOURCE["stg_campaign_responses"].names
+    body = "".join(f'r{i},m1,"c\n{i}",2024-01-02,opened,{i}.50\r\n' for i in range(3000))
+    path = tmp_path / "campaign_responses_9.csv"
+    path.write_text(",".join(names) + "\r\n" + body + "bad,row\r\n", newline="")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        df = files.read_source(spark, "stg_campaign_responses", str(path)).cache()
+        assert df.count() == 3001 and df.filter(files.CORRUPT + " is not null").count() == 1
+        one = df.filter("response_id = 'r77'").first()
+        assert (one["customer_id"], str(one["conversion_value"])) == ("c\n77", "77.50")
+        df.unpersist()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

@@ -101,8 +101,15 @@ def publish_text(spark: SparkSession, file: str, text: str) -> bool:
     return False
 
 
-def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths that match a glob, on whatever file system it names."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(path)
-    return [status.getPath().toString() for status in found or ()]
+def modified_paths(spark: SparkSession, pattern: str) -> dict[str, int]:
+    """Paths that match a glob with their time of modification; of a folder the latest of its visible files, without any it is left out."""
+    path, files = _file_system(spark, pattern)
+    found = {}
+    for status in files.globStatus(path) or ():
+        times = [status.getModificationTime()]
+        if status.isDirectory():
+            times = [s.getModificationTime() for s in files.listStatus(status.getPath())
+                     if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
+        if times:
+            found[status.getPath().toString()] = max(times)
+    return found

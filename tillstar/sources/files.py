@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 from tillstar import schemas
 from tillstar.functions import row_hash
-from tillstar.session import matching_paths
+from tillstar.session import modified_paths
+from tillstar.sources.records import breaks_in_quotes, records
 from tillstar.sources.tables import TableStore
 
 log = logging.getLogger(__name__)
@@ -25,16 +26,22 @@ def read_source(spark: SparkSession, name: str, path: str) -> DataFrame:
     Values may be quoted, with doubled quotes, commas and line breaks in them; empty values are missing. Rows with too few
     or too many values, or with a value that is not of its declared type, keep their text in
     ``_corrupt_record``. Columns that are not declared are left out, a declared one that is missing is an error.
-    A file is read by one task, as line breaks may stand in quotes: large sources come as a folder of part files,
-    which all have the same header.
+    Files are read in splits. Where a look at the lines finds a quote left open by one, records are put together from lines
+    first; else Spark's own reader takes line for line. Part files of a folder all have the same header.
     """
-    options = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
-    header = spark.read.options(**options).csv(path).columns
+    options = {"header": True, "quote": '"', "escape": '"'}
+    header = spark.read.options(multiLine=True, **options).csv(path).columns
     missing = [f.name for f in schemas.SOURCE[name] if f.name not in header]
     if missing:
         raise ValueError(f"no column {', '.join(missing)} in {path}")
     texts = T.StructType([T.StructField(c, T.StringType()) for c in (*header, CORRUPT)])
-    raw = spark.read.schema(texts).options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, **options).csv(path)
+    options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    if breaks_in_quotes(spark, path):
+        rows = records(spark, path).filter("number > 0")  # the first one is the header
+        fields = ", ".join(f"`{c}` string" for c in texts.names)
+        raw = rows.select(F.from_csv("record", fields, {k: str(v) for k, v in options.items() if k != "header"}).alias("r")).select("r.*")
+    else:
+        raw = spark.read.schema(texts).options(**options).csv(path)
     typed, wrong = [], F.col(CORRUPT).isNotNull()
     for field in schemas.SOURCE[name]:
         text = F.nullif(F.col(f"`{field.name}`"), F.lit(""))
@@ -47,18 +54,12 @@ def read_source(spark: SparkSession, name: str, path: str) -> DataFrame:
 
 def latest_file(spark: SparkSession, folder: str, glob: str) -> str | None:
     """Most recently modified source matching ``glob``; a source may be a file or a folder
-    of part files. Only names and times are read, never contents."""
-    pattern = f"{folder.rstrip('/')}/{glob}"
-    found = matching_paths(spark, pattern)
+    of part files, of which the latest counts. Only names and times are read, by listings."""
+    found = modified_paths(spark, f"{folder.rstrip('/')}/{glob}")
     if not found:
         log.warning("no files match %s in %s", glob, folder)
         return None
-    # one listing for each match, so a path need not be taken apart
-    times = [
-        (newest, source) for source in found
-        if (newest := spark.read.format("binaryFile").load(source).agg(F.max("modificationTime")).first()[0])
-    ]
-    return max(times)[1] if times else None
+    return max((when, path) for path, when in found.items())[1]
 
 
 def load_id_of(when: dt.datetime) -> int:
