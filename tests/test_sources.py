@@ -205,3 +205,42 @@ def test_a_file_with_line_breaks_is_read_by_several_tasks(spark, tmp_path):
         df.unpersist()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_sketches_are_near_merge_and_need_one_scan(spark):
+    import math
+
+    df = spark.range(200_000).selectExpr(
+        "cast(id as int) as k", "cast(id % 977 as decimal(9,2)) as m", "case when id % 3 = 0 then 'often' else concat('v', id) end as s",
+        "case when id % 4 > 0 then date_add(date'2001-01-01', cast(id % 500 as int)) end as d", "id % 2 = 0 as f")
+    whole = profile.sketches(df)
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "SinglePartition" in plan
+    parts = profile.sketches(df.filter("k % 2 = 0")).unionByName(profile.sketches(df.filter("k % 2 = 1")))
+    exact = {r["column_name"]: r for r in profile.profile(df, "t", NOW.date()).collect()}
+    for found in (whole, profile.merged(parts)):
+        near = {r["column_name"]: r for r in profile.estimated(found, "t", NOW.date()).collect()}
+        assert near.keys() == exact.keys()
+        for name, want in exact.items():
+            for same in ("total_rows", "null_count", "null_percentage", "min_value", "max_value", "avg_value", "data_type"):
+                assert near[name][same] == want[same], (name, same)
+            error = 4 * 0.8 / math.sqrt(2**profile.LG_K)
+            assert abs(near[name]["distinct_count"] - want["distinct_count"]) <= max(1, error * want["distinct_count"])
+        assert near["s"]["most_frequent_value"] == "often" and near["f"]["most_frequent_value"] == "false"
+        got = {r["column_name"]: r["quantiles"] for r in profile.quantiles(found, [0.1, 0.5, 0.9]).collect()}
+        assert set(got) == {"k", "m"}
+        for rank, value in zip((0.1, 0.5, 0.9), got["k"]):
+            assert abs(value / 200_000 - rank) <= 1.7 / profile.K * 3
+
+
+def test_profiles_are_kept_by_table_and_day(spark, store):
+    store.replace(spark.sql("select 1 as a, 'x' as b union all select 2, null"), "t")
+    day = NOW.date()
+    assert profile.store_profile(store, "t", day) == 2
+    assert profile.store_profile(store, "t", day + dt.timedelta(days=1), approximate=True) == 2
+    store.append(spark.sql("select 7 as a, 'x' as b"), "t")
+    assert profile.store_profile(store, "t", day) == 2
+    got = rows(store.read(profile.PROFILE), "profile_date", "column_name", "total_rows", "max_value", "avg_value", "most_frequent_value")
+    assert got == sorted([(day, "a", 3, "7", 3.33, "1"), (day, "b", 3, "x", None, "x"),
+                          (day + dt.timedelta(days=1), "a", 2, "2", 1.5, "1"), (day + dt.timedelta(days=1), "b", 2, "x", None, "x")], key=repr)
+    assert store.read(profile.PROFILE).select("profile_id").distinct().count() == 4

@@ -14,6 +14,7 @@ from tillstar.operators import aggregates, rows
 from tillstar.operators.keys import stored_once
 from tillstar.operators.lookup import lookup, lookup_scd2
 from tillstar.operators.pairs import name_pairs
+from tillstar.sources.tables import TableStore
 from tillstar.plans import dimensions, facts
 
 # --- projections and filters ----------------------------------------------------------------
@@ -320,6 +321,22 @@ def _(c: Context) -> DataFrame:
     return counted.select("payment_method", close.alias("within_tenth"))
 
 
+@query("A02_distincts_from_daily_sketches", """
+    select payment_method, true as transactions, true as customers from fact_transactions
+    where transaction_date_key between 19960101 and 19971231 group by payment_method""")
+def _(c: Context) -> DataFrame:
+    # sketches by day, stored in two loads and merged over two years of days
+    fact, names = c["fact_transactions"], {"transactions": "transaction_id", "customers": "customer_key"}
+    store = TableStore(c.spark, c.scratch("sketches"))
+    for half in (F.col("transaction_key") % 2 == 0, F.col("transaction_key") % 2 == 1):
+        store.append(aggregates.day_sketches(fact.filter(half), "transaction_date_key", ["payment_method"], names), "distincts")
+    years = F.col("transaction_date_key").between(19960101, 19971231)
+    near = aggregates.distincts_of(store.read("distincts").filter(years), ["payment_method"], list(names))
+    exact = fact.filter(years).groupBy("payment_method").agg(*[F.count_distinct(v).alias(f"exact_{n}") for n, v in names.items()])
+    return near.join(exact, "payment_method").select("payment_method", *[
+        (F.abs(F.col(n) - F.col(f"exact_{n}")) <= 0.05 * F.col(f"exact_{n}")).alias(n) for n in names])
+
+
 @query("A03_conditional_aggregates", f"""
     select payment_method, count(distinct case when payment_status = 'Completed' then transaction_id end) as completed,
            {sql_money("sum(case when payment_status = 'Failed' then net_amount else 0 end)")} as failed_value
