@@ -74,3 +74,16 @@ def test_nothing_to_learn_and_empty_table(spark):
     got = language.identify(spark.createDataFrame([(1, "words", None, None)], SCHEMA)).collect()
     assert [(r.lang_pred, r.score) for r in got] == [("und", 0.0)]
     assert language.identify(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_a_table_of_weights_is_bounded_by_the_number_of_languages(spark, monkeypatch):
+    import pytest
+
+    from tillstar.llm import language
+
+    docs = spark.createDataFrame([(i, f"text number {i}", f"l{i % 7}") for i in range(100)], "doc_id bigint, text string, lang string")
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 7)
+    assert language.identify(docs).count() == 100
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 6)
+    with pytest.raises(ValueError):
+        language.identify(docs)

@@ -123,3 +123,20 @@ def test_a_member_known_by_its_size_alone_still_meets_loose_ones(spark):
     assert told.any()
     got = {r.doc_id: r.component_id for r in run(spark, rows, shingle_words=1, bands=2, band_rows=1)}
     assert all(got[int(10 * g + i)] == 10 * g for g in np.flatnonzero(told) for i in range(4))
+
+
+def test_many_rows_of_one_document_are_compared_once(spark, monkeypatch):
+    seen = {}
+
+    def counted(df, label, keep=minhash.stored):
+        seen[label] = keep(df, label)
+        return seen[label]
+
+    monkeypatch.setattr(minhash, "stored", counted)
+    base = [f"w{i}" for i in range(60)]
+    near = base[:-1] + ["other"]
+    rows = [(1, " ".join(base))] * 40 + [(2, " ".join(near))] * 40 + [(3, "quite another text of some words")] + [(3, " ".join(near) + " end")]
+    got = run(spark, rows)
+    assert seen["verified"].count() == len({(r.a, r.b) for r in seen["verified"].collect()}) <= 3
+    assert seen["sets"].count() == seen["sets"].select("id").distinct().count()
+    assert len(got) == len(rows) and {(r.doc_id, r.component_id) for r in got if r.doc_id < 3} == {(1, 1), (2, 1)}

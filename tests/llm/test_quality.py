@@ -79,3 +79,38 @@ def test_odd_rows_and_missing_classes(spark):
     none = quality.classify(docs, labels.limit(0)).collect()
     assert {r.score for r in none} == {0.5}
     assert quality.classify(docs.limit(0), labels).collect() == []
+
+
+def plain_score(net, text):
+    """The forward pass window by window."""
+    data = text + b"\0" * (-len(text) % quality.CHUNK if text else quality.CHUNK) + b"\0" * quality.WIDTH
+    pooled = []
+    for chunk in range(0, len(data) - quality.WIDTH, quality.CHUNK):
+        best = []
+        for f in range(quality.FILTERS):
+            scores = []
+            for at in range(chunk, chunk + quality.CHUNK, quality.STRIDE):
+                scores.append(sum(float(net.filters[j][data[at + j]][f]) for j in range(quality.WIDTH)))
+            best.append(max(0.0, max(scores) + float(net.shift[f])))
+        pooled.append(best)
+    mean = [sum(c[f] for c in pooled) / len(pooled) for f in range(quality.FILTERS)]
+    top = [max(c[f] for c in pooled) for f in range(quality.FILTERS)]
+    z = sum(w * x for w, x in zip(net.weights.tolist(), mean + top)) + float(net.bias[0])
+    return 1 / (1 + np.exp(-z))
+
+
+def test_scores_agree_window_by_window():
+    net = quality.fit([b"good plain words here " * 9, b"#### $$$$ !!!! " * 12, b"more words", b"!!"], [1, 0, 1, 0], epochs=2)
+    texts = [b"", b"a", b"good words ####", b"x" * 512, b"y!" * 300, "éclair œuf ".encode() * 140]
+    for text, got in zip(texts, net.score(texts)):
+        assert abs(plain_score(net, text) - got) < 1e-4
+
+
+def test_long_labelled_texts_are_learned_from(spark):
+    long_bad, long_good = "## $$ !! " * 40_000, "plain words " * 30_000
+    docs = spark.createDataFrame([(i, long_good if i % 2 else long_bad, "x") for i in range(0, 12)], DOCS)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(12)], LABELS)
+    usable = quality.usable_labels(labels, 3, 1)
+    learned = quality.sample(docs, usable, 1000)
+    assert len(learned) == usable.count() and min(len(t) for _, t, _ in learned) > 1 << 18
+    assert len(quality.sample(docs, usable, 2)) == 4

@@ -19,7 +19,7 @@ from tillstar.llm.common import text_rows, with_small_batches
 
 # One edit for so many letters of an item.
 LETTERS_PER_EDIT = 12
-# Items with fewer letters are no evidence of a leak and are not searched for.
+# Items with fewer letters are searched for without edits and as whole words.
 LEAST_LETTERS = 20
 # Letters of test items that are broadcast at a time; a larger benchmark takes several passes.
 BLOCK_LETTERS = 8 << 20
@@ -64,9 +64,12 @@ class Index:
     """Pieces of test items, and the items with their allowed edits."""
 
     def __init__(self, items: list[tuple[int, str]], letters_per_edit: int, least_letters: int):
-        self.items = [(i, t, len(t) // letters_per_edit) for i, t in items if len(t) >= least_letters]
+        self.items = [(i, t, len(t) // letters_per_edit if len(t) >= least_letters else 0) for i, t in items if t]
         pieces: dict[str, list[tuple[int, int]]] = {}
         for number, (_, text, edits) in enumerate(self.items):
+            if len(text) < least_letters:
+                pieces.setdefault(f" {text} ", []).append((number, -1))
+                continue
             cuts = [len(text) * j // (edits + 1) for j in range(edits + 2)]
             for a, b in zip(cuts, cuts[1:]):
                 pieces.setdefault(text[a:b], []).append((number, a))
@@ -80,9 +83,10 @@ class Index:
         """Item number, edits, begin and end of the best passage of each item found in a text."""
         starts: dict[int, dict[int, int]] = {}
         if self.items:
-            for end, (size, places) in self.automaton.iter(text):
+            # A blank on either side, so that short items are found as whole words.
+            for end, (size, places) in self.automaton.iter(f" {text} "):
                 for number, offset in places:
-                    starts.setdefault(number, {})[end + 1 - size - offset] = offset
+                    starts.setdefault(number, {})[end - size - offset] = offset
         found = []
         for number, places in starts.items():
             _, item, edits = self.items[number]
@@ -160,10 +164,10 @@ def leaks(
 
     Texts and items are compared as lower-cased words (runs of ASCII letters and digits and of anything beyond
     ASCII). An item of n letters is found where a passage differs from it by n / ``letters_per_edit`` edits at
-    most; of several passages, one with the fewest edits is given.
+    most; of several passages, one with the fewest edits is given. An item of fewer than ``least_letters`` letters is found where its words
+    stand unchanged.
 
-    Null and empty texts hold nothing. Items that are null, have no id or fewer than ``least_letters`` letters are not
-    searched. Repeated rows are reported each; other columns are not read. Empty tables give no rows.
+    Null and empty texts hold nothing. Items that are null, have no id or no letters are not searched. Repeated rows are reported each; other columns are not read. Empty tables give no rows.
     The benchmark is broadcast in blocks of bounded size, each searched in one pass over the documents.
     """
     spark = docs.sparkSession

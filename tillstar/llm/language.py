@@ -142,8 +142,8 @@ def identify(docs: DataFrame, *, folds: int = 5, cells: int = CELLS) -> DataFram
 
     Learns from rows whose crc32(doc_id) mod ``folds`` is not 0, and predicts all. ``score`` is the posterior of the
     language; ties go to the first by name. A null text, one without letters, and every text
-    when nothing could be learned: ``und`` with score 0. A null doc_id counts as held out. Repeated
-    rows count and are returned each; other columns are not read. An empty table gives no rows.
+    when nothing could be learned: ``und`` with score 0. More than ``MOST_LANGUAGES`` values of lang raise an error, as the table of weights is
+    broadcast. A null doc_id counts as held out. Repeated rows count and are returned each; other columns are not read. An empty table gives no rows.
     """
     ids = F.col("doc_id").cast("bigint").alias("doc_id")
     held = (fold("doc_id", folds) == 0).alias("held_out")

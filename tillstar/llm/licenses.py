@@ -32,15 +32,45 @@ NOTICES = {
     "you may not use this file except in compliance with the license": "apache",
     "this work is licensed under the gnu general public license version 3": "gpl",
     "redistribute it and or modify it under the terms of the gnu general public license": "gpl",
+    "under the terms of the gnu lesser general public license": "lgpl",
+    "under the terms of the gnu affero general public license": "agpl",
+    "licensed under cc by 4 0": "cc-by",
     "licensed under cc by nc 4 0": "cc-by-nc",
+    "licensed under cc by nd 4 0": "cc-by-nd",
     "licensed under cc by sa 4 0": "cc-by-sa",
+    "licensed under cc by nc nd 4 0": "cc-by-nc-nd",
+    "licensed under cc by nc sa 4 0": "cc-by-nc-sa",
+    "creative commons attribution 4 0 international license": "cc-by",
     "creative commons attribution noncommercial 4 0 international license": "cc-by-nc",
+    "creative commons attribution noderivatives 4 0 international license": "cc-by-nd",
     "creative commons attribution sharealike 4 0 international license": "cc-by-sa",
+    "creative commons attribution noncommercial noderivatives 4 0 international license": "cc-by-nc-nd",
+    "creative commons attribution noncommercial sharealike 4 0 international license": "cc-by-nc-sa",
+    "creative commons cc0 1 0 universal": "cc0",
+    "released under the bsd license": "bsd",
     "redistribution and use in source and binary forms with or without modification": "bsd",
+    "neither the name of the copyright holder nor the names of its contributors": "bsd-3-clause",
+    "licensed under the bsd 2 clause license": "bsd-2-clause",
+    "licensed under the bsd 3 clause license": "bsd-3-clause",
+    "released under the isc license": "isc",
+    "permission to use copy modify and or distribute this software for any purpose": "isc",
+    "released under the mpl license": "mpl",
     "subject to the terms of the mozilla public license": "mpl",
+    "free and unencumbered software released into the public domain": "unlicense",
 }
-# Short words of notices that tell licences apart, among them version numbers.
-TELLING = frozenset({"mit", "nc", "sa", "0", "2", "3", "4"})
+# Identifiers of one-line tags, as words, and their labels.
+TAGS = {
+    "mit": "mit", "apache 2 0": "apache", "isc": "isc", "mpl 2 0": "mpl", "unlicense": "unlicense", "cc0 1 0": "cc0",
+    "bsd 2 clause": "bsd-2-clause", "bsd 3 clause": "bsd-3-clause",
+    "gpl 2 0": "gpl", "gpl 3 0": "gpl", "lgpl 2 1": "lgpl", "lgpl 3 0": "lgpl", "agpl 3 0": "agpl",
+    "cc by 4 0": "cc-by", "cc by sa 4 0": "cc-by-sa", "cc by nc 4 0": "cc-by-nc", "cc by nd 4 0": "cc-by-nd",
+    "cc by nc sa 4 0": "cc-by-nc-sa", "cc by nc nd 4 0": "cc-by-nc-nd",
+}
+NOTICES |= {f"spdx license identifier {tag}": label for tag, label in TAGS.items()}
+# Words of notices that tell licences apart, among them version numbers.
+TELLING = frozenset({
+    "mit", "apache", "isc", "mpl", "bsd", "gpl", "lgpl", "agpl", "cc", "cc0", "unlicense", "by", "nc", "nd", "sa", "lesser", "affero",
+    "noncommercial", "noderivatives", "sharealike", "0", "1", "2", "3", "4"})
 # One edit for so many letters of a notice.
 LETTERS_PER_EDIT = 12
 
@@ -112,7 +142,7 @@ def winners(spans: list[tuple[int, int, int, Notice]]) -> list[tuple[int, int, i
     return kept
 
 
-def _scan(phrases: dict[str, str], notices: dict[str, str], letters_per_edit: int, telling: frozenset[str] | None):
+def _scan(phrases: dict[str, str], notices: dict[str, str], letters_per_edit: int, telling: frozenset[str]):
     span = pa.struct([("notice", pa.string()), ("label", pa.string()), ("first", pa.int64()), ("last", pa.int64()),
                       ("edits", pa.int64())])
     schema = pa.schema([
@@ -122,7 +152,7 @@ def _scan(phrases: dict[str, str], notices: dict[str, str], letters_per_edit: in
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         exact = [(b" " + p.encode() + b" ", label) for p, label in phrases.items()]
-        fuzzy = [Notice(n, label, letters_per_edit, telling or frozenset()) for n, label in notices.items()]
+        fuzzy = [Notice(n, label, letters_per_edit, telling) for n, label in notices.items()]
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
@@ -138,7 +168,7 @@ def _scan(phrases: dict[str, str], notices: dict[str, str], letters_per_edit: in
                         at = joined.find(phrase, at + 1)
                 spans, best = [], 1.0 if base else 0.0
                 hits = [(*hit, notice) for notice in fuzzy for hit in notice.spans(joined)]
-                for begin, end, edits, notice in hits if telling is None else winners(hits):
+                for begin, end, edits, notice in winners(hits) if telling else hits:
                     spans.append({
                         "notice": notice.words, "label": notice.label, "edits": edits,
                         "first": max(0, joined.count(b" ", 0, begin + 1) - 1),
@@ -158,13 +188,13 @@ def _scan(phrases: dict[str, str], notices: dict[str, str], letters_per_edit: in
 
 def scan(
     docs: DataFrame, *, phrases: dict[str, str] | None = None, notices: dict[str, str] | None = None,
-    letters_per_edit: int = LETTERS_PER_EDIT, telling: frozenset[str] | None = None,
+    letters_per_edit: int = LETTERS_PER_EDIT, telling: frozenset[str] = TELLING,
 ) -> DataFrame:
     """Licence labels of every whole text.
 
-    Without ``telling``, every notice within its edits counts, also one that differs from another licence's by
-    no more than these. With it, these words of a notice must stand unchanged, and of overlapping spans of different labels
-    those with the fewest edits stay.
+    The words ``telling`` of a notice must stand unchanged, and of overlapping spans of different labels those with
+    the fewest edits stay. With an empty set, every notice within its edits counts, also one that differs from another licence's by
+    no more than these.
 
     ``doc_id, n_words, n_base`` (places of all phrases), ``first_word, last_word`` (smallest and
     largest of their starts, else null), ``base_labels, labels`` (sorted, comma-joined, empty if there are none),

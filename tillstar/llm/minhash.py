@@ -187,7 +187,8 @@ def near_duplicates(
     copies costs a comparison each, and no link found by banding that could join two components is left out.
 
     Null, empty or blank text: no shingles, linked with nothing. A null doc_id is linked with
-    nothing, has a null component and is kept. Repeated rows of one doc_id are one document.
+    nothing, has a null component and is kept. Repeated rows of one doc_id are one document and get a row each; of
+    different texts under one doc_id one is compared.
     Other columns of ``docs`` are not read. An empty table gives no rows.
     """
     ids = F.col("doc_id").cast("bigint").alias("doc_id")
@@ -195,9 +196,15 @@ def near_duplicates(
         text_rows(docs, ids).mapInArrow(
             _sign(shingle_words, bands, band_rows),
             "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>"), "signed")
+    known = signed.filter("set_key is not null and doc_id is not null")
+    twice = stored(known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id"), "repeated")
+    repeated = not twice.isEmpty()
+    if repeated:  # of several sets of one document the one with the smallest key
+        once = known.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(
+            F.min(F.struct("set_key", "n_shingles", "bands")).alias("s")).select("doc_id", "s.n_shingles", "s.set_key", "s.bands")
+        known = known.join(twice, "doc_id", "left_anti").unionByName(once)
     classes = stored(
-        signed.filter("set_key is not null and doc_id is not null").groupBy("set_key")
-        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes")
+        known.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes")
     members = classes.select("rep", "n", F.col("set_key").alias("key"), F.explode("bands").alias("band"))
     leaders = stored(
         members.groupBy("band").agg(F.min(F.struct("rep", "n", "key")).alias("leader"), F.count(F.lit(1)).alias("c"))
@@ -211,9 +218,17 @@ def near_duplicates(
     shared = stored(shared, "shared")
     if shared.count() <= BROADCAST_IDS:  # else both sides are shuffled
         shared = F.broadcast(shared)
-    sets = stored(
-        with_small_batches(shared.join(texts, "id"))
-        .mapInArrow(_sets(shingle_words), "id bigint, shingles array<bigint>"), "sets")
+
+    def sets_of(rows: DataFrame) -> DataFrame:
+        return with_small_batches(shared.join(rows, "id")).mapInArrow(_sets(shingle_words), "id bigint, shingles array<bigint>")
+
+    if repeated:  # a set counts once, however many rows have it
+        ids_twice = twice.withColumnRenamed("doc_id", "id")
+        sets = sets_of(texts.join(ids_twice, "id", "left_anti")).union(
+            sets_of(texts.join(ids_twice, "id", "left_semi").distinct()).dropDuplicates(["id"]))
+    else:
+        sets = sets_of(texts)
+    sets = stored(sets, "sets")
     possible = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
     pairs = in_buckets.filter("a <> b").filter(possible).select("a", "b", "n_a", "n_b").distinct()
     both = F.size(F.array_intersect("shingles_a", "shingles_b"))

@@ -18,8 +18,8 @@ from tillstar.llm.common import fold, spans_of, text_rows
 
 WIDTH, STRIDE, FILTERS = 8, 2, 16
 CHUNK = 512  # window starts in a chunk; a chunk overlaps the next by WIDTH - 1 bytes
-# Learning: rows of each class, and the longest text that is taken for it.
-SAMPLE_ROWS, SAMPLE_BYTES = 1000, 1 << 18
+# Learning: rows of each class.
+SAMPLE_ROWS = 1000
 EPOCHS, DOCS_IN_STEP, RATE, DECAY, SEED = 12, 32, 0.01, 1e-4, 5
 _CHUNKS_AT_ONCE = 64
 
@@ -113,14 +113,14 @@ def usable_labels(labels: DataFrame, parts: int, held: int) -> DataFrame:
     return usable.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
 
 
-def sample(docs: DataFrame, usable: DataFrame, rows: int, longest: int) -> list[tuple[int, bytes, int]]:
+def sample(docs: DataFrame, usable: DataFrame, rows: int) -> list[tuple[int, bytes, int]]:
     """A bounded sample of labelled texts, the same whatever the order of rows."""
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
-    # Rows with long texts are left out after the draw, so that no text is read to draw.
+    # No text is read to draw, and texts of all lengths are taken.
     drawn = usable.filter("quality = 0").distinct().orderBy(*order).limit(rows).union(
         usable.filter("quality = 1").distinct().orderBy(*order).limit(rows))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    texts = texts.filter(F.col("text").isNotNull() & (F.octet_length("text") <= longest))
+    texts = texts.filter(F.col("text").isNotNull())
     found = texts.join(F.broadcast(drawn), "doc_id").dropDuplicates(["doc_id", "quality"])
     return sorted((r.doc_id, bytes(r.text), r.quality) for r in found.select("doc_id", "text", "quality").collect())
 
@@ -145,19 +145,19 @@ def _predict(shared):
 
 def classify(
     docs: DataFrame, labels: DataFrame, *, parts: int = 3, held: int = 1,
-    sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES,
+    sample_rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every whole text.
 
     Learns from at most ``sample_rows`` documents of each class of ``labels.quality`` whose crc32(doc_id) mod ``parts``
-    is not ``held`` and whose text has ``sample_bytes`` at most; fitting is the one step on the driver, over that sample.
+    is not ``held``, whole texts of any length; fitting is the one step on the driver, over that sample. Filters start at every second byte.
     The shares of the classes come from all labels of these folds. Where a class is missing, the score is the share of label 1, drawn towards one half. Null and empty texts
     are scored as a chunk of zero bytes. Labels that are null or neither 0 nor 1 are not used. Repeated
     rows and rows without doc_id are scored each; other columns are not read. An empty table gives no rows.
     """
     usable = usable_labels(labels, parts, held)
     shares = {r.quality: r.n for r in usable.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
-    learned = sample(docs, usable, sample_rows, sample_bytes)
+    learned = sample(docs, usable, sample_rows)
     found = [quality for _, _, quality in learned]
     if len(set(found)) < 2:
         model: Network | float = (shares.get(1, 0) + 1) / (sum(shares.values()) + 2)
