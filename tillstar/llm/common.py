@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -11,7 +11,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.operators.keys import stored_once
+from tillstar.operators.keys import _OPENED, stored_once
+from tillstar.session import remove_folder
 
 # Rows in one Arrow batch: a batch of very long texts then still fits a Python worker.
 BATCH_ROWS = 256
@@ -26,6 +27,26 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return stored_once(df, f"llm/{label}")
 
 
+def stored_alone(spark: SparkSession, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Store what ``build`` returns and remove the tables that it stored on the way there, and its shuffle files.
+
+    Spark removes shuffle files once the driver has collected what refers to them, which a driver with little to do
+    puts off; so it is asked to.
+    """
+    steps: list[str] = []
+    token = _OPENED.set(steps)
+    try:
+        df = build()
+    finally:
+        _OPENED.reset(token)
+    kept = stored(df, label)
+    for path in steps:
+        remove_folder(spark, path)
+    del df
+    spark._jvm.System.gc()
+    return kept
+
+
 def with_small_batches(df: DataFrame) -> DataFrame:
     """Bound the Arrow batches of a text table (a session setting, only ever lowered)."""
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
