@@ -152,3 +152,16 @@ def test_totals_beyond_sixteen_digits(spark):
 
     df = spark.range(4).selectExpr("cast(9999999999999999.99 as decimal(18,2)) as v")
     assert str(df.agg(decimal_sum("v").alias("t")).first()["t"]) == "39999999999999999.96"
+
+
+def test_a_load_without_new_transactions_leaves_the_lines_alone(spark, store):
+    dim, _ = load(spark, None, [customer("c1")], D(2019, 1, 1))
+    store.replace(dim, "dim_customer")
+    store.replace(dimensions.build_product(staged(spark, "stg_products", decimals([product("p1")]))), "dim_product")
+    headers = staged(spark, "stg_ecom_transactions", [header("t1"), header("t2")])
+    items = staged(spark, "stg_ecom_transaction_items", [item("i1", "t1"), item("i2", "t2")])
+    assert warehouse.load_transactions(store, headers, items) == 2
+    before = store.snapshot("fact_transactions")
+    unread = items.withColumn("transaction_id", F.raise_error(F.lit("lines were read")).cast("string"))
+    assert warehouse.load_transactions(store, headers, unread) == 0
+    assert store.snapshot("fact_transactions") == before
