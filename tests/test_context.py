@@ -26,3 +26,9 @@ def test_sales_of_customers_are_built_without_aggregates_and_responses(spark, tm
     assert bought and c.store.exists("fact_transactions")
     assert not any(c.store.exists(n) for n in ("fact_campaign_responses", "agg_customer_monthly", "agg_product_daily"))
     assert not c.staging.exists("stg_ecom_transaction_items")
+
+
+def test_lookup_of_orphans_stores_no_staged_orders_and_lines(spark, tmp_path):
+    c = _fresh(spark, tmp_path)
+    assert QUERIES["J13_left_lookup_keeping_orphans"](spark, c.folder).count()
+    assert not any(c.staging.exists(n) for n in ("stg_ecom_transactions", "stg_ecom_transaction_items"))

@@ -279,8 +279,9 @@ def _(c: Context) -> DataFrame:
          and t.transaction_date >= c.valid_from and t.transaction_date < c.valid_to
     left join dim_product p on i.product_id = p.product_id""")
 def _(c: Context) -> DataFrame:
+    # the staging is gone over once, so it need not be stored for it
     return facts.transaction_lines(
-        c.stg("stg_ecom_transactions"), c.stg("stg_ecom_transaction_items"), c.dim("dim_customer"),
+        c.passing("stg_ecom_transactions"), c.passing("stg_ecom_transaction_items"), c.dim("dim_customer"),
         c.dim("dim_product"), keep_orphans=True,
     ).select("transaction_id", "quantity", "line_total", "customer_key", "product_key")
 
