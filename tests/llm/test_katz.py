@@ -162,3 +162,30 @@ def test_a_very_frequent_word_is_asked_for_in_several_tasks(spark, monkeypatch):
     agree(got, rows)
     combined = dict(sent)["combined"]
     assert combined.groupBy("bucket").count().agg({"count": "max"}).first()[0] > 5
+
+
+def test_contexts_are_words_and_not_cells_of_them(spark):
+    """Two words that share the first 16 bits of their hash, after which different words follow, stay two contexts."""
+    found = {}
+    for i in range(5000):
+        word = f"w{i}"
+        other = found.setdefault(cell(word.encode()) >> 48, word)
+        if other != word:
+            break
+    rows = [(i, f"{other} one") for i in range(40)] + [(100 + i, f"{word} two") for i in range(40)] + [(200, f"{word} one"), (201, f"{other} one")]
+    df = spark.createDataFrame([(*r, 1) for r in rows], SCHEMA)
+    got = {r.doc_id: r.score for r in katz.score_texts(df, folds=3).collect()}
+    train = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 3]
+    pairs = collections.Counter((a, b) for _, t in train for a, b in [t.split()])
+    assert pairs[other, "one"] > 10 and pairs[word, "two"] > 10
+    # "one" after the other word is as likely as that; after this word, which it hardly ever follows, it is not
+    assert got[200] < got[201] - 0.5
+
+
+def test_a_model_keeps_weights_in_a_table(spark):
+    """More contexts than would fit the numbers that tasks get: those hold no array that grows with contexts."""
+    text = " ".join(f"v{i}" for i in range(70_000))
+    rows = text_rows(spark.createDataFrame([(1, text, 1)], SCHEMA), "doc_id", (fold("doc_id", 10) == 0).alias("held_out"))
+    model, numbers = katz.train(rows, 2, 1 << 20)
+    assert numbers.types == 70_001 and numbers.weights.count() == 70_001  # the begin and every word
+    assert sum(np.asarray(v).size for v in vars(numbers.numbers()).values()) < 50

@@ -1,17 +1,17 @@
 """Katz backoff language model over words: Good-Turing discounts, exactly normalised backoff weights.
 
-The model is a bigram over words whose contexts are hashed into a fixed number of cells, so
-the table of backoff weights has a bounded size and can be broadcast. Everything that grows is
-partitioned by word: a bucket holds all counts of its words, in any context, hence also the
-words' own counts. Counts and requests travel as compressed columns of many entries, one row for each
-bucket and chunk of documents.
+The model is a bigram over words, whose contexts are the words before. Counts are partitioned by word: a
+bucket holds all counts of its words, in any context, hence also the words' own counts. Backoff weights are a stored table with a
+row for each context. A word is itself the context of what follows it, so its bucket also gets its weight as a context, and only pairs
+that were not seen meet the weights of their contexts in a join. Counts and requests travel as compressed columns of many entries, one
+row for each bucket and chunk of documents.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 import numpy as np
 import pyarrow as pa
@@ -23,13 +23,16 @@ from pyspark.sql import functions as F
 
 from tillstar.llm.common import batches_of, fold, mix64, runs, stored, text_rows, word_hashes
 
-CELL_BITS = 16
+# A context is told by all bits of the word before it.
+CELL_BITS = 64
 # Counts up to this one are discounted.
 MOST_DISCOUNTED = 5
 # Text that makes one bucket of words, and tokens that a task gathers before it sends them on.
 BUCKET_BYTES, CHUNK_TOKENS = 64 << 20, 1 << 21
 # Rows of compressed columns, each up to a megabyte, in one Arrow batch.
 BLOB_ROWS = 32
+# Rows of one number each in one Arrow batch.
+SCALE_ROWS = 65_536
 # Chunks whose entries of one bucket meet in one task. With more of them, a bucket (and a word as frequent as all others of it together)
 # is dealt to several tasks by chunk.
 CHUNKS_TOGETHER = 64
@@ -53,12 +56,17 @@ def expand(data: bytes, kind: type) -> np.ndarray:
 
 def tokens_of(text: bytes | None) -> np.ndarray:
     """Hashes of the words of a text, ASCII letters lowered, and of its end."""
-    return np.append(word_hashes((text or b"").lower().split()), np.uint64(END))
+    return mix64(np.append(word_hashes((text or b"").lower().split()), np.uint64(END)))
+
+
+def begin() -> np.uint64:
+    """The context of a text's first token."""
+    return mix64(np.asarray([BEGIN], np.uint64))[0]
 
 
 def cells_of(tokens: np.ndarray) -> np.ndarray:
-    """The context cell of each token: of the word before it, or of the begin."""
-    return (mix64(np.concatenate([[np.uint64(BEGIN)], tokens[:-1]])) >> np.uint64(64 - CELL_BITS)).astype(np.uint16)
+    """The context of each token: the word before it, or the begin."""
+    return np.concatenate([[begin()], tokens[:-1]])
 
 
 @dataclass
@@ -80,30 +88,40 @@ class Chunk:
         self.total += len(tokens)
 
     def entries(self, by_doc: bool) -> tuple[np.ndarray, ...]:
-        """Distinct (word, cell) or (word, cell, row), sorted, with counts: words, entries of each, cells, rows, counts."""
+        """Distinct (word, context) or (word, context, row), sorted, with counts: words, entries of each, all contexts, and of each
+        entry the place of its context, row and count."""
         words, at = np.unique(np.concatenate(self.tokens), return_inverse=True)
-        key = at.astype(np.uint64) << np.uint64(CELL_BITS) | np.concatenate(self.cells)
+        names, cells = np.unique(np.concatenate(self.cells), return_inverse=True)
+        bits = np.uint64(len(names).bit_length())
+        key = at.astype(np.uint64) << bits | cells.astype(np.uint64)
         rows = np.zeros(0, np.uint32)
         if by_doc:
             row = np.repeat(np.arange(len(self.docs), dtype=np.uint64), [len(t) for t in self.tokens])
-            bits = np.uint64(max(1, len(self.docs)).bit_length())
-            key, counts = np.unique(key << bits | row, return_counts=True)
-            rows, key = (key & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.uint32), key >> bits
+            pairs, pair = np.unique(key, return_inverse=True)
+            own = np.uint64(max(1, len(self.docs)).bit_length())
+            key, counts = np.unique(pair.astype(np.uint64) << own | row, return_counts=True)
+            rows, key = (key & ((np.uint64(1) << own) - np.uint64(1))).astype(np.uint32), pairs[(key >> own).astype(np.int64)]
         else:
             key, counts = np.unique(key, return_counts=True)
-        sizes = np.bincount((key >> np.uint64(CELL_BITS)).astype(np.int64), minlength=len(words)).astype(np.uint32)
-        return words, sizes, (key & np.uint64((1 << CELL_BITS) - 1)).astype(np.uint16), rows, counts.astype(np.uint32)
+        sizes = np.bincount((key >> bits).astype(np.int64), minlength=len(words)).astype(np.uint32)
+        return words, sizes, names, (key & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.uint32), rows, counts.astype(np.uint32)
 
 
-_ENTRIES = [("words", np.uint64), ("sizes", np.uint32), ("cells", np.uint16), ("rows", np.uint32), ("counts", np.uint32)]
-_SENT = ("bucket int, chunk bigint, words binary, sizes binary, cells binary, rows binary, counts binary, "
+_ENTRIES = [("words", np.uint64), ("sizes", np.uint32), ("names", np.uint64), ("cells", np.uint32), ("rows", np.uint32),
+            ("counts", np.uint32)]
+_SENT = ("bucket int, chunk bigint, words binary, sizes binary, names binary, cells binary, rows binary, counts binary, "
          "docs binary, flags binary")
 _SENT_SCHEMA = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64())]
-                         + [(n, pa.binary()) for n in ("words", "sizes", "cells", "rows", "counts", "docs", "flags")])
+                         + [(n, pa.binary()) for n in (*(n for n, _ in _ENTRIES), "docs", "flags")])
+
+
+def _steps(values: np.ndarray) -> np.ndarray:
+    """Sorted identifiers as the steps between them."""
+    return np.diff(values, prepend=np.uint64(0))
 
 
 def _send(chunk: Chunk, number: int, buckets: int, by_doc: bool) -> Iterator[pa.RecordBatch]:
-    words, sizes, cells, rows, counts = chunk.entries(by_doc)
+    words, sizes, names, cells, rows, counts = chunk.entries(by_doc)
     # Words are sorted by their hash, so a bucket is a range of them.
     bucket = ((words >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     cut = np.searchsorted(bucket, np.arange(buckets + 1))
@@ -115,12 +133,13 @@ def _send(chunk: Chunk, number: int, buckets: int, by_doc: bool) -> Iterator[pa.
         local = np.zeros(0, np.uint32)
         if by_doc:  # only documents with words in this bucket are named
             local, own = np.unique(own, return_inverse=True)
+        met, place = np.unique(cells[a:z], return_inverse=True)
         docs = np.asarray([chunk.docs[i] or 0 for i in local], np.int64)
         flags = np.asarray([chunk.held[i] + 2 * (chunk.docs[i] is None) for i in local], np.uint8)
         yield pa.RecordBatch.from_arrays([
             pa.array([b], pa.int32()), pa.array([number], pa.int64()),
             *(pa.array([squeeze(v)], pa.binary()) for v in (
-                np.diff(words[lo:hi], prepend=np.uint64(0)), sizes[lo:hi], cells[a:z], own.astype(np.uint32), counts[a:z])),
+                _steps(words[lo:hi]), sizes[lo:hi], _steps(names[met]), place.astype(np.uint32), own.astype(np.uint32), counts[a:z])),
             pa.array([squeeze(np.concatenate([docs, local.astype(np.int64)]))], pa.binary()), pa.array([squeeze(flags)], pa.binary()),
         ], schema=_SENT_SCHEMA)
 
@@ -142,11 +161,12 @@ def _gather(buckets: int, chunk_tokens: int, by_doc: bool):
 
 
 def _entries(row: dict) -> tuple[np.ndarray, ...]:
-    words, sizes, cells, rows, counts = (expand(row[n], kind) for n, kind in _ENTRIES)
-    return np.cumsum(words, dtype=np.uint64), sizes.astype(np.int64), cells, rows, counts.astype(np.int64)
+    words, sizes, names, cells, rows, counts = (expand(row[n], kind) for n, kind in _ENTRIES)
+    return (np.cumsum(words, dtype=np.uint64), sizes.astype(np.int64), np.cumsum(names, dtype=np.uint64), cells, rows,
+            counts.astype(np.int64))
 
 
-_MODEL = ("bucket int, words binary, sizes binary, cells binary, counts binary, types bigint, tokens bigint, "
+_MODEL = ("bucket int, words binary, sizes binary, names binary, cells binary, counts binary, types bigint, tokens bigint, "
           "word_rarity array<bigint>, pair_rarity array<bigint>")
 
 
@@ -155,28 +175,32 @@ def _rarity(counts: np.ndarray) -> list[int]:
     return np.bincount(np.minimum(counts, MOST_DISCOUNTED + 2), minlength=MOST_DISCOUNTED + 3)[1:-1].tolist()
 
 
-def _combined(run: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The entries of several rows of a bucket as one: words, and word, cell and count of each entry."""
+def _combined(run: pa.Table) -> tuple[np.ndarray, ...]:
+    """The entries of several rows of a bucket as one: words, contexts, and word, place of the context and count of each entry."""
     parts = [_entries(r) for r in run.select([n for n, _ in _ENTRIES]).to_pylist()]
-    words, at = np.unique(np.concatenate([np.repeat(w, s) for w, s, *_ in parts]), return_inverse=True)
-    key = at.astype(np.uint64) << np.uint64(CELL_BITS) | np.concatenate([c for _, _, c, *_ in parts])
-    counts = np.concatenate([n for *_, n in parts])
+    words, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    names, place = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
+    bits = np.uint64(len(names).bit_length())
+    key = np.repeat(at.astype(np.uint64) << bits, np.concatenate([p[1] for p in parts]))
+    ends = np.cumsum([0, *(len(p[2]) for p in parts)])
+    key |= np.concatenate([place[e:][p[3]] for e, p in zip(ends, parts)]).astype(np.uint64)
+    counts = np.concatenate([p[5] for p in parts])
     order = np.argsort(key, kind="stable")
     key, counts = key[order], counts[order]
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     key, counts = key[first], np.add.reduceat(counts, first)
-    return words, (key >> np.uint64(CELL_BITS)).astype(np.int64), (key & np.uint64((1 << CELL_BITS) - 1)).astype(np.uint16), counts
+    return words, names, (key >> bits).astype(np.int64), (key & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.uint32), counts
 
 
-_COMBINED = "bucket int, words binary, sizes binary, cells binary, rows binary, counts binary"
+_COMBINED = "bucket int, words binary, sizes binary, names binary, cells binary, rows binary, counts binary"
 
 
 def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of one bucket and salt as one row, as it was sent."""
     for run in runs(batches, ("bucket", "salt")):
-        words, word, cells, counts = _combined(run)
+        words, names, word, cells, counts = _combined(run)
         columns = {
-            "words": np.diff(words, prepend=np.uint64(0)), "sizes": np.bincount(word, minlength=len(words)).astype(np.uint32),
+            "words": _steps(words), "sizes": np.bincount(word, minlength=len(words)).astype(np.uint32), "names": _steps(names),
             "cells": cells, "rows": np.zeros(0, np.uint32), "counts": counts.astype(np.uint32)}
         yield pa.RecordBatch.from_pydict(
             {"bucket": pa.array([run.column("bucket")[0].as_py()], pa.int32())} | {n: [squeeze(c)] for n, c in columns.items()})
@@ -184,12 +208,13 @@ def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for run in runs(batches, ("bucket",)):
-        words, word, cells, counts = _combined(run)
+        words, names, word, cells, counts = _combined(run)
         totals = np.bincount(word, counts, len(words)).astype(np.int64)
         yield pa.RecordBatch.from_pydict({
             "bucket": pa.array([run.column("bucket")[0].as_py()], pa.int32()),
-            "words": [squeeze(np.diff(words, prepend=np.uint64(0)))],
+            "words": [squeeze(_steps(words))],
             "sizes": [squeeze(np.bincount(word, minlength=len(words)).astype(np.uint32))],
+            "names": [squeeze(_steps(names))],
             "cells": [squeeze(cells)],
             "counts": [squeeze(counts.astype(np.uint64))],
             "types": [len(words)], "tokens": [int(totals.sum())],
@@ -219,7 +244,7 @@ def discounted(counts: np.ndarray, factors: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Numbers:
-    """The bounded part of the model: totals, discounts, and the weights of context cells."""
+    """The bounded part of the model: totals and discounts."""
 
     tokens: int
     types: int
@@ -227,81 +252,130 @@ class Numbers:
     pair_factors: np.ndarray
     unknown: float  # P(word never seen)
     kept: float  # discounted counts of all words
-    scale: np.ndarray = field(default_factory=lambda: np.ones(1 << CELL_BITS))
-    backoff: np.ndarray = field(default_factory=lambda: np.ones(1 << CELL_BITS))
 
     def word(self, counts: np.ndarray) -> np.ndarray:
         """P(word) by its count; what discounts take off goes to the unknown word (count 0)."""
         seen = discounted(counts, self.word_factors) * ((1 - self.unknown) / self.kept if self.kept else 0.0)
         return np.where(counts > 0, seen, self.unknown)
 
-    def token(self, total: np.ndarray, pair: np.ndarray, cells: np.ndarray) -> np.ndarray:
-        """P(word | cell): the discounted share of a pair that was seen, else the weight of the cell times P(word)."""
-        return np.where(pair > 0, discounted(pair, self.pair_factors) * self.scale[cells], self.backoff[cells] * self.word(total))
+    def part(self, total: np.ndarray, pair: np.ndarray) -> np.ndarray:
+        """P(word | context) but for the weights of the context: the discounted count of a pair that was seen, else P(word)."""
+        return np.where(pair > 0, discounted(pair, self.pair_factors), self.word(total))
 
     def base(self, total: np.ndarray) -> np.ndarray:
         return (total + ADDED) / (self.tokens + ADDED * (self.types + 1))
 
 
+@dataclass
+class Model(Numbers):
+    """The numbers with the stored weights of contexts: ``cell``, log10 of ``scale`` and of backoff over scale, ``step``."""
+
+    weights: DataFrame | None = None
+
+    def numbers(self) -> Numbers:
+        """Without the table, for tasks."""
+        return Numbers(*(getattr(self, f.name) for f in fields(Numbers)))
+
+    def token(self, total: np.ndarray, pair: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """P(word | context), with the weights of a few contexts read from the table; contexts never seen have the weight 1."""
+        asked, at = np.unique(np.asarray(cells).astype(np.uint64), return_inverse=True)
+        found = {r.cell: (r.scale, r.step) for r in self.weights.filter(F.col("cell").isin(asked.view(np.int64).tolist())).collect()}
+        scale, step = np.asarray([found.get(c, (0.0, 0.0)) for c in asked.view(np.int64).tolist()]).reshape(-1, 2).T
+        return self.part(total, pair) * 10 ** (scale[at] + np.where(pair > 0, 0.0, step[at]))
+
+
 class Bucket:
     """The stored counts of one bucket of words."""
 
     def __init__(self, row: dict):
         self.words = np.cumsum(expand(row["words"], np.uint64), dtype=np.uint64)
         sizes = expand(row["sizes"], np.uint32).astype(np.int64)
-        self.cells = expand(row["cells"], np.uint16)
+        self.names = np.cumsum(expand(row["names"], np.uint64), dtype=np.uint64)
+        self.places = expand(row["cells"], np.uint32)
         self.counts = expand(row["counts"], np.uint64).astype(np.int64)
         self.word = np.repeat(np.arange(len(self.words)), sizes)
         self.totals = np.bincount(self.word, self.counts, len(self.words)).astype(np.int64)
-        self.key = self.word.astype(np.uint64) << np.uint64(CELL_BITS) | self.cells
+        self.bits = np.uint64(len(self.names).bit_length())
+        self.key = self.word.astype(np.uint64) << self.bits | self.places
+
+    @property
+    def cells(self) -> np.ndarray:
+        """The context of each entry."""
+        return self.names[self.places]
 
     @classmethod
     def empty(cls) -> Bucket:
-        kinds = {"words": np.uint64, "sizes": np.uint32, "cells": np.uint16, "counts": np.uint64}
+        kinds = {"words": np.uint64, "sizes": np.uint32, "names": np.uint64, "cells": np.uint32, "counts": np.uint64}
         return cls({n: squeeze(np.zeros(0, k)) for n, k in kinds.items()})
 
-    def find(self, words: np.ndarray, sizes: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For entries: the count of the word, and of the word in that cell."""
-        at = np.searchsorted(self.words, words)
-        there = at < len(self.words)
-        there[there] = self.words[at[there]] == words[there]
+    def find(self, words: np.ndarray, sizes: np.ndarray, names: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For entries: the count of the word, and of the word in that context."""
+        at, there = _places(self.words, words)
         total = np.zeros(len(words), np.int64)
         total[there] = self.totals[at[there]]
-        key = np.repeat(at, sizes).astype(np.uint64) << np.uint64(CELL_BITS) | cells
-        place = np.searchsorted(self.key, key)
-        hit = (place < len(self.key)) & np.repeat(there, sizes)
-        hit[hit] = self.key[place[hit]] == key[hit]
+        place, known = _places(self.names, names)
+        key = np.repeat(at, sizes).astype(np.uint64) << self.bits | place[cells].astype(np.uint64)
+        at, hit = _places(self.key, key)
+        hit &= np.repeat(there, sizes) & known[cells]
         pair = np.zeros(len(key), np.int64)
-        pair[hit] = self.counts[place[hit]]
+        pair[hit] = self.counts[at[hit]]
         return np.repeat(total, sizes), pair
 
 
+def _places(among: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where values stand in a sorted array, and whether they are there."""
+    at = np.searchsorted(among, asked)
+    there = at < len(among)
+    there[there] = among[at[there]] == asked[there]
+    return at, there
+
+
 def _context_sums(numbers: Numbers):
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = 1 << CELL_BITS
-        total = np.zeros((3, size))
         for batch in batches:
             for row in batch.to_pylist():
                 b = Bucket(row)
                 likely = numbers.word(b.totals)[b.word]
-                for i, weights in enumerate((b.counts, discounted(b.counts, numbers.pair_factors), likely)):
-                    total[i] += np.bincount(b.cells, weights, size)
-        at = np.flatnonzero(total[0])
-        yield pa.RecordBatch.from_pydict({
-            "cell": pa.array(at, pa.int32()), "n": total[0][at].astype(np.int64), "kept": total[1][at], "lower": total[2][at]})
+                n, kept, lower = (
+                    np.bincount(b.places, w, len(b.names)) for w in (b.counts, discounted(b.counts, numbers.pair_factors), likely))
+                yield pa.RecordBatch.from_pydict(
+                    {"cell": b.names.view(np.int64), "n": n.astype(np.int64), "kept": kept, "lower": lower})
 
     return sums
 
 
+def _weights(sums: DataFrame) -> DataFrame:
+    """Backoff weights of contexts. Where no count in a context is discounted, half a count goes to the words not seen in it."""
+    n = F.col("n")
+    kept = F.when(F.col("kept") < n - 1e-9, F.col("kept")).otherwise(n - 0.5)
+    scale, backoff = F.log10(kept / F.col("kept") / n), F.log10((1 - kept / n) / (1 - F.col("lower")))
+    return sums.select("cell", scale.alias("scale"), (backoff - scale).alias("step"))
+
+
+def _bucket(cell: str, buckets: int) -> Column:
+    """The bucket a word falls into."""
+    return F.shiftright(F.shiftrightunsigned(cell, 32) * F.lit(buckets).cast("bigint"), 32).cast("int")
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Scales of the words of a bucket as one row."""
+    for run in runs(batches, ("bucket",)):
+        cells = run.column("cell").to_numpy().view(np.uint64)
+        order = np.argsort(cells)
+        yield pa.RecordBatch.from_pydict({
+            "bucket": pa.array([run.column("bucket")[0].as_py()], pa.int32()),
+            "words": [squeeze(_steps(cells[order]))], "counts": [squeeze(run.column("scale").to_numpy()[order])]})
+
+
 def _salt(salts: int) -> Column:
     return F.pmod(F.xxhash64("chunk"), F.lit(salts).cast("bigint")).cast("int").alias("salt")
 
 
-def train(rows: DataFrame, buckets: int, chunk_tokens: int, salts: int = 1) -> tuple[DataFrame, Numbers]:
-    """The stored table of counts, a row for each bucket of words, and the bounded rest of the model.
+def train(rows: DataFrame, buckets: int, chunk_tokens: int, salts: int = 1) -> tuple[DataFrame, Model]:
+    """The stored table of counts, a row for each bucket of words, and the rest of the model with its stored weights.
 
-    Entries of a bucket are first combined by ``salts`` groups of chunks, then all together; what is combined has a row for each
-    word and context cell, of which a word has no more than there are cells.
+    Entries of a bucket are first combined by ``salts`` groups of chunks, then all together; what is combined has an entry for each
+    word and context.
     """
     sent = rows.mapInArrow(_gather(buckets, chunk_tokens, False), _SENT)
     if salts > 1:
@@ -321,35 +395,42 @@ def train(rows: DataFrame, buckets: int, chunk_tokens: int, salts: int = 1) -> t
     unknown = min(0.5, max(off, 0.5) / tokens) if tokens else 1.0
     numbers = Numbers(tokens, types, factors, discounts(pair_rarity), unknown, tokens - off)
     with batches_of(rows.sparkSession, BLOB_ROWS):
-        sums = stored(
-            model.mapInArrow(_context_sums(numbers), "cell int, n bigint, kept double, lower double")
-            .groupBy("cell").agg(F.sum("n").alias("n"), F.sum("kept").alias("kept"), F.sum("lower").alias("lower")), "contexts")
-    for r in sums.collect():  # one row for each context cell
-        # Where no count in a context is discounted, half a count goes to the words not seen in it.
-        kept = r.kept if r.kept < r.n - 1e-9 else r.n - 0.5
-        numbers.scale[r.cell] = kept / r.kept / r.n
-        numbers.backoff[r.cell] = (1 - kept / r.n) / (1 - r.lower)
-    return model, numbers
+        weights = stored(_weights(
+            model.mapInArrow(_context_sums(numbers), "cell bigint, n bigint, kept double, lower double")
+            .groupBy("cell").agg(F.sum("n").alias("n"), F.sum("kept").alias("kept"), F.sum("lower").alias("lower"))), "contexts")
+    return model, Model(*vars(numbers).values(), weights)
 
 
-_PART = "chunk bigint, rows binary, docs binary, flags binary, n_tokens binary, n_known binary, base binary, score binary"
-_SCORED = "doc_id bigint, flags int, n_tokens bigint, n_known bigint, base_score double, score double"
+_PART = ("chunk bigint, rows binary, docs binary, flags binary, n_tokens binary, n_known binary, base binary, score binary, "
+         "lost_rows binary, lost_cells binary, lost_counts binary")
+_SCORED = "chunk bigint, row bigint, doc_id bigint, flags int, n_tokens bigint, n_known bigint, base_score double, score double"
+# Rows of a bucket that come before its requests.
+_COUNTS, _SCALES = -1, -2
 
 
 def _score(shared):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, bucket, counts = shared.value, None, Bucket.empty()
+        numbers, bucket = shared.value, None
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {n: batch.column(n)[i].as_py() for n in batch.schema.names}
-                if (row["bucket"], row["salt"]) != bucket:  # its counts, if there are any, come first
-                    bucket, counts = (row["bucket"], row["salt"]), Bucket(row) if row["docs"] is None else Bucket.empty()
-                    if row["docs"] is None:
-                        continue
-                words, sizes, cells, rows, times = _entries(row)
-                total, pair = counts.find(words, sizes, cells)
+                if (row["bucket"], row["salt"]) != bucket:  # its scales and counts, if there are any, come first
+                    bucket, counts, scaled, scales = (row["bucket"], row["salt"]), Bucket.empty(), np.zeros(0, np.uint64), np.zeros(0)
+                if row["chunk"] == _SCALES:
+                    scaled, scales = np.cumsum(expand(row["words"], np.uint64), dtype=np.uint64), expand(row["counts"], np.float64)
+                    continue
+                if row["chunk"] == _COUNTS:
+                    counts = Bucket(row)
+                    continue
+                words, sizes, names, cells, rows, times = _entries(row)
+                total, pair = counts.find(words, sizes, names, cells)
+                # what follows a word is in its context
+                at, there = _places(scaled, words)
+                follow = np.zeros(len(words))
+                follow[there] = scales[at[there]]
                 flags = expand(row["flags"], np.uint8)
                 docs, local = np.split(expand(row["docs"], np.int64), 2)
+                lost = np.flatnonzero(pair == 0)
 
                 def summed(weights: np.ndarray) -> np.ndarray:
                     return np.bincount(rows, weights * times, len(docs))
@@ -357,13 +438,22 @@ def _score(shared):
                 columns = {
                     "rows": local, "docs": docs, "flags": flags, "n_tokens": summed(np.ones(len(times))),
                     "n_known": summed(total > 0), "base": summed(np.log10(numbers.base(total))),
-                    "score": summed(np.log10(numbers.token(total, pair, cells)))}
+                    "score": summed(np.log10(numbers.part(total, pair)) + np.repeat(follow, sizes)),
+                    "lost_rows": local[rows[lost]], "lost_cells": names[cells[lost]], "lost_counts": times[lost]}
                 yield pa.RecordBatch.from_pydict(
                     {"chunk": pa.array([row["chunk"]], pa.int64())} | {n: [squeeze(c)] for n, c in columns.items()})
 
     return score
 
 
+def _lost(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs that were not seen: their text, context and number."""
+    for batch in batches:
+        for r in batch.to_pylist():
+            row, cell, times = (expand(r[n], np.int64) for n in ("lost_rows", "lost_cells", "lost_counts"))
+            yield pa.RecordBatch.from_pydict({"chunk": np.full(len(row), r["chunk"], np.int64), "row": row, "cell": cell, "times": times})
+
+
 def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The documents of a chunk, each summed over the buckets that hold its words."""
     for run in runs(batches, ("chunk",)):
@@ -376,6 +466,7 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             np.bincount(at, np.concatenate([expand(p[c], np.float64) for p in parts]), len(rows))
             for c in ("n_tokens", "n_known", "base", "score"))
         yield pa.RecordBatch.from_pydict({
+            "chunk": np.full(len(rows), parts[0]["chunk"], np.int64), "row": rows,
             "doc_id": docs, "flags": flags, "n_tokens": n_tokens.astype(np.int64), "n_known": n_known.astype(np.int64),
             "base_score": base, "score": score})
 
@@ -390,8 +481,9 @@ def score_texts(
     by a 64-bit hash, then one end. ``base_score`` sums additively smoothed unigram log10 probabilities; ``score`` sums
     log10 P(word | word before): a pair seen in training has its discounted share, others the backoff weight of their context
     times P(word), and words never seen share one probability. For every context the probabilities of all words and the
-    unknown one sum to 1. A context is one of 65,536 cells of hashed words. What asks for a bucket of words is dealt to tasks by ``chunks_together``
-    chunks of documents, each with a copy of the bucket's counts, so a very frequent word is asked for in many tasks.
+    unknown one sum to 1. A context is the word before, by its 64-bit hash. What asks for a bucket of words is dealt to tasks by ``chunks_together``
+    chunks of documents, each with a copy of the bucket's counts, so a very frequent word is asked for in many tasks; so are pairs
+    that were not seen, with copies of the weights of contexts.
 
     A null or empty text is its end alone. Rows without doc_id are held out; repeated rows count and are returned
     each. Other columns are not read. With nothing to learn from, all words are unknown. An empty table gives no rows.
@@ -402,17 +494,32 @@ def score_texts(
     salts = max(1, math.ceil(size / (_TOKEN_BYTES * chunk_tokens * chunks_together)))
     ids, held = F.col("doc_id").cast("bigint").alias("doc_id"), (fold("doc_id", folds) == 0).alias("held_out")
     model, numbers = train(text_rows(docs.filter(fold("doc_id", folds) != 0), ids, held), buckets, chunk_tokens, salts)
+    weights, all_salts = numbers.weights, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
+    first = weights.filter(F.col("cell") == int(begin().view(np.int64))).first()
+    with batches_of(spark, SCALE_ROWS):
+        scales = stored(
+            weights.select(_bucket("cell", buckets).alias("bucket"), "cell", "scale").repartition(2 * buckets, "bucket")
+            .sortWithinPartitions("bucket").mapInArrow(_pack, "bucket int, words binary, counts binary"), "scales")
     asked = text_rows(docs, ids, held).mapInArrow(_gather(buckets, chunk_tokens, True), _SENT)
-    none = F.lit(None).cast("binary")
-    known = model.select(
-        "bucket", F.lit(-1).cast("bigint").alias("chunk"), "words", "sizes", "cells", none.alias("rows"), "counts",
-        none.alias("docs"), none.alias("flags"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    dealt = known.union(asked.withColumn("salt", _salt(salts))).repartition(2 * buckets * salts, "bucket", "salt")
-    dealt = dealt.sortWithinPartitions("bucket", "salt", "chunk")
+
+    def ahead(df: DataFrame, chunk: int) -> DataFrame:
+        """Rows that come before the requests of a bucket, for each salt."""
+        there = [F.col(c) if c in df.columns else F.lit(None).cast("binary").alias(c) for c in asked.columns[2:]]
+        return df.select("bucket", F.lit(chunk).cast("bigint").alias("chunk"), *there, all_salts)
+
+    dealt = ahead(model, _COUNTS).union(ahead(scales, _SCALES)).union(asked.withColumn("salt", _salt(salts)))
+    dealt = dealt.repartition(2 * buckets * salts, "bucket", "salt").sortWithinPartitions("bucket", "salt", "chunk")
     with batches_of(spark, BLOB_ROWS):
-        parts = dealt.mapInArrow(_score(spark.sparkContext.broadcast(numbers)), _PART)
-        scores = stored(
-            parts.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_add_up, _SCORED), "scores")
+        parts = stored(dealt.mapInArrow(_score(spark.sparkContext.broadcast(numbers.numbers())), _PART), "parts")
+        sums = stored(
+            parts.select(*[c for c in parts.columns if not c.startswith("lost")]).repartition("chunk")
+            .sortWithinPartitions("chunk").mapInArrow(_add_up, _SCORED), "sums")
+        lost = parts.select("chunk", "lost_rows", "lost_cells", "lost_counts").mapInArrow(
+            _lost, "chunk bigint, row bigint, cell bigint, times bigint")
+        steps = lost.withColumn("salt", _salt(salts)).join(weights.select("cell", "step", all_salts), ["cell", "salt"])
+        scores = stored(sums.join(
+            steps.groupBy("chunk", "row").agg(F.sum(F.col("times") * F.col("step")).alias("lost")), ["chunk", "row"], "left"), "scores")
+    score = F.col("score") + F.lit(first.scale if first else 0.0) + F.coalesce("lost", F.lit(0.0))
     return scores.select(
         F.when(F.col("flags") < 2, F.col("doc_id")).alias("doc_id"), (F.col("flags") % 2 == 1).alias("held_out"),
-        "n_tokens", "n_known", F.lit(numbers.tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
+        "n_tokens", "n_known", F.lit(numbers.tokens).cast("bigint").alias("train_tokens"), "base_score", score.alias("score"))
