@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tillstar.quality import engine, reports
-from tillstar.quality.rules import RULES, not_null, row_check
+from tillstar.quality.rules import RULES, Rule, not_null, row_check
 
 DAY = dt.date(2001, 8, 1)
 
@@ -131,3 +131,21 @@ def test_missing_keys_and_empty_facts_in_the_shared_scan(spark, ctx):
         n = rows_of.count()
         assert got[11] == (n, rows_of.filter("customer_key is null").count()) and got[12] == (n, rows_of.filter("product_key = -5").count())
         assert got[9][1] == RULES[8].violations(tables, DAY).count() and got[5][0] == n
+
+
+def test_violations_are_looked_for_where_rules_failed_only(spark, store):
+    """A rule without failures is not run a second time for its violations; no failures at all leave an empty table."""
+    def find(tables, as_of):
+        raise AssertionError("asked for the violations of a rule that found none")
+
+    def peak(limit):
+        return Rule(table="t", column="v", rule_type="custom_sql", find=find, peak="v", peak_is_bad=lambda top, as_of: top > limit,
+                    **about("peak"))
+
+    tables = {"t": spark.createDataFrame([(1, 5), (2, -1), (3, -2)], "k bigint, v int")}
+    engine.quality_run(store, tables, dt.datetime(2001, 8, 1, 8), rules=[peak(9)])
+    assert store.read("dq_exceptions").count() == 0
+    low = row_check("t", "k", "v", "v < 0", "v", "'>= 0'", **about("low"))
+    engine.quality_run(store, tables, dt.datetime(2001, 8, 1, 9), rules=[peak(9), low])
+    assert rows(store.read("dq_exceptions"), "exception_id", "record_identifier", "failed_value") == [(1, "2", "-1"), (2, "3", "-2")]
+    assert store.read("dq_test_results").count() == 3
