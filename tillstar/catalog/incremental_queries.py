@@ -69,15 +69,16 @@ def _(c: Context) -> DataFrame:
 def _(c: Context) -> DataFrame:
     store, staging = _star(c, "stream"), TableStore(c.spark, c.scratch("arrived"))
     folder, checkpoint = c.scratch("incoming"), c.scratch("progress")
-    orders, items = c.stg("stg_ecom_transactions"), c.stg("stg_ecom_transaction_items")
-    third = F.substring("transaction_id", 4, 20).cast("bigint") % 3
+    # lines are written once, where they are staged; a delivery of orders is as many files as tasks write at a time
+    orders, items = c.stg("stg_ecom_transactions"), c.passing("stg_ecom_transaction_items")
+    third, files = F.substring("transaction_id", 4, 20).cast("bigint") % 3, c.spark.sparkContext.defaultParallelism
     # lines of some orders are staged after the orders have arrived
     staging.replace(items.filter(third > 0), "stg_ecom_transaction_items")
-    orders.filter(third < 2).repartition(2).write.parquet(folder)
-    arrivals.load_arriving_transactions(store, staging, folder, checkpoint, files_per_batch=1).awaitTermination()
+    orders.filter(third < 2).repartition(2 * files).write.parquet(folder)
+    arrivals.load_arriving_transactions(store, staging, folder, checkpoint, files_per_batch=files).awaitTermination()
     staging.append(items.filter(third == 0), "stg_ecom_transaction_items")
     # the rest arrives together with copies of what is already loaded
-    orders.filter(third > 0).coalesce(1).write.mode("append").parquet(folder)
+    orders.filter(third > 0).write.mode("append").parquet(folder)
     arrivals.load_arriving_transactions(store, staging, folder, checkpoint).awaitTermination()
     return _summary(store.read("fact_transactions"))
 

@@ -44,7 +44,7 @@ def load_arriving_transactions(
         items = staging.read("stg_ecom_transaction_items")
         load_with_pending(
             store, "stg_ecom_transactions", "fact_transactions", "transaction_id", batch,
-            lambda rows: warehouse.load_transactions(store, rows, items))
+            lambda rows: warehouse.load_transactions(store, rows, items, reduced=True))
 
     return _stream(store, "stg_ecom_transactions", folder, checkpoint, load, files_per_batch)
 

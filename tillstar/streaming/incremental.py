@@ -78,7 +78,7 @@ def load_with_pending(
     """Load fresh staged rows together with those that earlier loads could not match.
 
     What has no fact row afterwards, because its lines, customer, product or campaign are not there
-    yet, is kept as pending and tried again with every later load. Repeating a batch, or failing
+    yet, is kept as pending and tried again with every later load. ``load`` gets each key once. Repeating a batch, or failing
     anywhere in between, adds nothing twice and loses nothing.
     """
     pending = f"pending_{source}"
@@ -107,7 +107,7 @@ def load_increment(
     items = staging.read("stg_ecom_transaction_items")
     steps = {
         "transactions": ("stg_ecom_transactions", "fact_transactions", "transaction_id",
-                         lambda batch: warehouse.load_transactions(store, batch, items)),
+                         lambda batch: warehouse.load_transactions(store, batch, items, reduced=True)),
         "campaign_responses": ("stg_campaign_responses", "fact_campaign_responses", "response_id",
                                lambda batch: warehouse.load_responses(store, batch)),
     }
