@@ -1,11 +1,15 @@
 import datetime as dt
+import re
 from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tests.test_dimensions import T1, T2, customer, decimals, load, product, staged
+from tillstar.operators import keys
 from tillstar.plans import dimensions, facts, validation, warehouse
+from tillstar.plans.facts import transaction_lines as lines
+from tillstar.sources import tables
 
 D = dt.date
 
@@ -165,3 +169,53 @@ def test_a_load_without_new_transactions_leaves_the_lines_alone(spark, store):
     unread = items.withColumn("transaction_id", F.raise_error(F.lit("lines were read")).cast("string"))
     assert warehouse.load_transactions(store, headers, unread) == 0
     assert store.snapshot("fact_transactions") == before
+
+
+def _exchanges(df):
+    return len(re.findall(r"\bExchange\b", df._jdf.queryExecution().executedPlan().toString()))
+
+
+def test_daily_sales_are_shuffled_once(spark, store):
+    D0, hundred = 20190601, Decimal(100)
+    fact = spark.createDataFrame(
+        [(D0, 1, c, t, 1, hundred) for c, t in ((1, "t1"), (1, "t2"), (2, "t3"), (None, "t4"))] + [(D0 + 1, 1, 2, "t5", 3, None)],
+        "transaction_date_key int, product_key bigint, customer_key bigint, transaction_id string, quantity int, net_amount decimal(12,2)")
+    store.replace(fact, "f")
+    product = spark.createDataFrame([(1, Decimal(40))], "product_key bigint, unit_cost decimal(10,2)")
+    plain = facts.product_daily(store.read("f"), product)
+    ranged = facts.product_daily(facts.by_day_and_product(store.read("f")), product)
+    # one exchange less for the count of customers, and none to gather the days of a month
+    assert _exchanges(ranged) < _exchanges(plain)
+    assert rows(ranged) == rows(plain) == rows(facts.product_daily(facts.by_day_and_product(store.read("f"), 7), product))
+    assert rows(ranged, "date_key", "units_sold", "unique_customers", "total_revenue") == [(D0, 4, 2, 400), (D0 + 1, 3, 1, None)]
+
+
+def test_aggregates_by_month_without_a_sort_by_folder(spark, store):
+    """Months are written side by side, more of them than files may be open too; the session is left as it was."""
+    months = spark.range(2000).select((F.col("id") % 40).cast("string").alias("m"), "id")
+    for gathered in (True, False):
+        store.replace(months.repartition(3), "t", slot=F.col("m"), gathered=gathered)
+        assert len({p.slot for p in store.snapshot("t").parts}) == 40
+        assert rows(store.read("t")) == rows(months)
+    assert spark.conf.get(tables._OPEN_FILES, "0") == "0"
+
+
+def test_repeated_keys_of_a_long_table(spark, monkeypatch):
+    df = spark.range(3000).selectExpr("if(id < 4, null, id div 2) as k", "id % 2 as part")
+    for limit in (250_000, 100):
+        monkeypatch.setattr(keys, "RANGE_ROWS", limit)
+        found = validation.repeated_keys(df, ("k",))
+        assert found.count() == 1499 and rows(found.filter("k is null"), "count") == [(4,)]
+        assert validation.repeated_keys(df.filter("k is not null"), ("k", "part")).count() == 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # keys are dealt before they are counted, so no task holds the keys of a whole split
+    assert plan.index("HashAggregate") < plan.index("Exchange") and "hashpartitioning(k" in plan and ", 30)" in plan
+
+
+def test_headers_without_copies_are_not_ranked(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(facts, "transaction_lines", lambda t, *more, **options: seen.append((t, options["reduced"])) or lines(t, *more, **options))
+    fact = build(spark, [header("t1"), header("t2"), header("t2", load=T2, order_number="new"), header(None), header("t3", customer_id=None)],
+                 [item("i1", "t1"), item("i2", "t2"), item("i3", "t3")])
+    assert rows(fact, "transaction_id", "order_number") == [("t1", None), ("t2", "new")]
+    assert seen[0][1] and seen[0][0].count() == 2

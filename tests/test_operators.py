@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.conftest import rows
-from tillstar.operators import aggregates, rows as ops
+from tillstar.operators import aggregates, keys, rows as ops
 from tillstar.operators.keys import with_keys, with_scan_position
 from tillstar.operators.lookup import lookup_scd2
 from tillstar.operators.pairs import name_pairs
@@ -160,3 +160,28 @@ def test_several_distinct_counts_read_the_table_once(spark, tmp_path):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and "partial" in plan
     assert rows(out) == [(g, len(range(g, 500, 3)), 7, 11, 1) for g in range(3)]
+
+
+def test_only_copies_are_ranked_and_the_latest_stay(spark, monkeypatch):
+    df = spark.createDataFrame(
+        [("a", 1, 1, "h1"), ("a", 2, 2, "h2"), ("b", 3, 1, "h4"), ("b", 4, 1, "h3"), ("b", 4, 1, "h3"), ("c", 5, 1, "h5"),
+         (None, 6, 1, "h6"), (None, 6, 1, "h6")], "id string, v int, load_id bigint, row_hash string")
+    expected = rows(ops.latest_load(df, "id"), "id", "v")
+    assert rows(ops.latest_of_copies(df, "id"), "id", "v") == expected == [("a", 2), ("b", 4), ("c", 5)]
+    monkeypatch.setattr(ops, "MOST_REPEATED", 1)
+    assert rows(ops.latest_of_copies(df, "id"), "id", "v") == expected
+    once = ops.latest_of_copies(df.filter("id = 'c' or id is null"), "id")
+    assert rows(once, "id", "v") == [("c", 5)]
+    assert "Window" not in once._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ranges_follow_the_rows_and_keys_stay_the_same(spark, monkeypatch):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("v")).repartition(3)
+    assert keys.ranges_for(spark, 5000) is None
+    expected = rows(with_keys(df, "k", ["v"], store_first=True), "k", "v")
+    monkeypatch.setattr(keys, "RANGE_ROWS", 100)
+    assert keys.ranges_for(spark, 5000) == 50 and keys.ranges_for(spark, 5001) == 51
+    keyed = with_keys(df, "k", ["v"], store_first=True)
+    assert rows(keyed, "k", "v") == expected
+    sizes = [r["count"] for r in df.repartitionByRange(keys.ranges_for(spark, 5000), "v").groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 400

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar import schemas
+from tillstar.operators.keys import ranges_for
 from tillstar.operators.lookup import lookup_scd2
 from tillstar.operators.rows import not_yet_in
 
@@ -81,6 +82,17 @@ def integrity_report(tables: Mapping[str, DataFrame], references=REFERENCES, cou
     return counted.select(F.inline(F.array(*cells)))
 
 
+def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Key values with several rows.
+
+    Keys are nearly all distinct, so combining them before the shuffle would only fill the memory of the scanning tasks. Of a
+    long table they are dealt by value to tasks of bounded size first.
+    """
+    keys = df.select(*key)
+    dealt = ranges_for(df.sparkSession, df.count())
+    return (keys.repartition(dealt, *key) if dealt else keys).groupBy(*key).count().filter("count > 1")
+
+
 def constraint_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Violations of the declared keys, mandatory columns and references, one row each."""
     rows = []
@@ -96,8 +108,7 @@ def constraint_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     for table, rules in schemas.CONSTRAINTS.items():
         df = tables[table]
         for key in rules["unique"]:
-            repeated = df.groupBy(*key).count().filter("count > 1")
-            row(table, "unique", ",".join(key), repeated.agg(F.count(F.lit(1)).alias("violations")))
+            row(table, "unique", ",".join(key), repeated_keys(df, key).agg(F.count(F.lit(1)).alias("violations")))
         # all mandatory columns of a table in one scan
         missing = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in rules["not_null"]])
         pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in rules["not_null"]])
